@@ -10,6 +10,9 @@ from shelfcast.operators.windows import by_week, last_rows, whole_series
 from shelfcast.session import cut_lineage
 
 
+STEPS = "array<struct<week:date,point:double,lower:double,upper:double>>"
+
+
 def series_state(recent):
     """One row per series: its last row plus what later steps need of its history.
 
@@ -51,10 +54,10 @@ def next_state(step):
     calendar, price and promotion columns stay those of the last known week.
     """
     point = F.col("point")
-    window = F.array_compact(F.array("_u3", "_u2", "_u1", point))
-    total = F.aggregate(window, F.lit(0.0), lambda a, x: a + x)
-    mean = total / F.size(window)
-    squares = F.aggregate(window, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
+    window = [F.col("_u3"), F.col("_u2"), F.col("_u1"), point]
+    known = sum((v.isNotNull().cast("int") for v in window), F.lit(0))
+    mean = sum((F.coalesce(v, F.lit(0.0)) for v in window), F.lit(0.0)) / known
+    squares = sum((F.coalesce((v - mean) * (v - mean), F.lit(0.0)) for v in window), F.lit(0.0))
     return {
         "week": F.date_add("_origin", 7 * step),
         "lag_2": F.col("lag_1"),
@@ -62,7 +65,7 @@ def next_state(step):
         "momentum": point - F.col("lag_1"),
         "units_sold": point,
         "rolling_mean_4": mean,
-        "rolling_std_4": F.sqrt(F.try_divide(squares, F.size(window) - 1)),
+        "rolling_std_4": F.sqrt(F.try_divide(squares, known - 1)),
         "_u3": F.col("_u2"), "_u2": F.col("_u1"), "_u1": point,
         "_price_sum": F.col("_price_sum") + F.coalesce(F.col("price_unit"), F.lit(0.0)),
         "_price_n": F.col("_price_n") + F.col("price_unit").isNotNull().cast("long"),
@@ -70,38 +73,40 @@ def next_state(step):
     }
 
 
-def predict_horizon(recent, predict, weeks=K.HORIZON_DEFAULT, checkpoint_every=4):
+def advance(state, predict, step):
+    """One step for all series: features, prediction, next state.
+
+    When the state carries `_steps`, the step's forecast is appended there.
+    """
+    ready = state.withColumns(state_features(state))
+    own = [c for c in state.columns if c.startswith("_")]
+    scored = predict(ready.select(
+        *own, *[F.col(f"_x_{c}").alias(c) for c in K.FEATURES],
+        F.struct(*[c for c in state.columns if not c.startswith("_")]).alias("_row"),
+        *[c for c in (*K.SERIES, "category") if c in state.columns],
+    ))
+    lower, upper = S.bracket("point", "lower", "upper")
+    forecast = F.struct(F.date_add("_origin", 7 * step).alias("week"), F.col("point"),
+                        lower.alias("lower"), upper.alias("upper"))
+    steps = [F.concat("_steps", F.array(forecast)).alias("_steps")] if "_steps" in own else []
+    done = scored.select(*[c for c in own if c != "_steps"], "_row.*", "point", *steps)
+    return done.withColumns(next_state(step)).drop("point")
+
+
+def predict_horizon(recent, predict, weeks=K.HORIZON_DEFAULT):
     """Forecast rows (series, week, point, lower, upper) for `weeks` weeks ahead.
 
     `recent` is the history of all series (see `recent_history`); `predict` adds
     point, lower and upper to a frame with the feature columns. Every step handles
     all series in one pass; the state is one row per series and is written to the
-    shared folder every few steps.
+    shared folder after each step, which keeps every step's plan as small as the first.
     """
     if not 1 <= weeks <= K.HORIZON_MAX:
         raise ValueError(f"horizon must lie in 1..{K.HORIZON_MAX} weeks, got {weeks}")
-    state = series_state(recent).withColumn("_steps", F.array().cast(
-        "array<struct<week:date,point:double,lower:double,upper:double>>"))
-    state = cut_lineage(state)
+    state = cut_lineage(series_state(recent).withColumn("_steps", F.array().cast(STEPS)))
     for step in range(1, weeks + 1):
-        ready = state.withColumns(state_features(state))
-        given = ready.select(
-            *[c for c in ready.columns if c.startswith("_") and not c.startswith("_x_")],
-            *[F.col(f"_x_{c}").alias(c) for c in K.FEATURES],
-            F.struct(*[c for c in state.columns if not c.startswith("_")]).alias("_row"),
-            *[c for c in (*K.SERIES, "category") if c in state.columns],
-        )
-        scored = predict(given)
-        lower, upper = S.bracket("point", "lower", "upper")
-        done = scored.select(
-            *[c for c in state.columns if c.startswith("_") and c != "_steps"], "_row.*", "point",
-            F.concat("_steps", F.array(F.struct(
-                F.date_add("_origin", 7 * step).alias("week"), F.col("point").alias("point"),
-                lower.alias("lower"), upper.alias("upper"),
-            ))).alias("_steps"),
-        )
-        state = done.withColumns(next_state(step)).drop("point")
-        if step % checkpoint_every == 0 and step < weeks:
+        state = advance(state, predict, step)
+        if step < weeks:
             state = cut_lineage(state)
     kept = [c for c in (*K.SERIES, "category") if c in state.columns]
     return state.select(*kept, F.explode("_steps").alias("_step")).select(*kept, "_step.*")

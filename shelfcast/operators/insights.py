@@ -2,6 +2,7 @@
 
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfcast import constants as K
@@ -9,6 +10,13 @@ from shelfcast.functions import scalars as S
 from shelfcast.operators import analytics
 
 
+def _line(section, rank, text, weight=0.0):
+    """Columns of an insight line; lines sort by section, weight and rank."""
+    weight = F.lit(weight) if isinstance(weight, float) else weight
+    return [F.lit(section).alias("section"), weight.alias("weight"), rank.alias("rank"),
+            text.alias("insight")]
+
+
 def growth_deltas(weekly):
     """Units per category in the last two months present anywhere; missing ones count 0."""
     monthly = analytics.units_by(weekly, "category", "monthly")
@@ -37,7 +45,7 @@ def category_growth(weekly):
     )
     return (
         growth_deltas(weekly).filter(F.abs(delta) >= K.GROWTH_REPORTED)
-        .select(F.lit(1).alias("section"), F.col("category").alias("rank"), text.alias("insight"))
+        .select(*_line(1, F.col("category"), text))
     )
 
 
@@ -49,10 +57,9 @@ def promo_effectiveness(weekly):
         .groupBy("category").agg(F.avg("promo_lift_pct").alias("lift"))
         .filter(F.col("lift") >= K.PROMO_LIFT_STRONG)
     )
-    order = F.format_string("%020.6f", F.lit(1e9) - F.col("lift"))
     text = F.concat(F.lit("Promotions in "), F.col("category"), F.lit(" produce a strong "),
                     S.fixed_text("lift", 1), F.lit("% average lift."))
-    return lifts.select(F.lit(2).alias("section"), order.alias("rank"), text.alias("insight"))
+    return lifts.select(*_line(2, F.col("category"), text, -F.col("lift")))
 
 
 def lifecycle_lines(weekly):
@@ -67,7 +74,7 @@ def lifecycle_lines(weekly):
         F.struct(F.lit(rank).alias("rank"), F.col(stage).alias("n"),
                  F.concat(F.col(stage).cast("string"), F.lit(text)).alias("insight"))
         for rank, stage, text in lines
-    ]))).filter("n > 0").select(F.lit(3).alias("section"), "rank", "insight")
+    ]))).filter("n > 0").select(*_line(3, F.col("rank"), F.col("insight")))
 
 
 def alert_line(alerts):
@@ -80,11 +87,9 @@ def alert_line(alerts):
         F.transform(F.array_sort(F.collect_list(place)), lambda x: x["text"]), "; "
     )).scalar()
     counted = high.agg(F.count("*").alias("n")).filter("n > 0")
-    return counted.select(
-        F.lit(4).alias("section"), F.lit("").alias("rank"),
-        F.concat(F.col("n").cast("string"), F.lit(" HIGH-severity alerts active (e.g. "), examples,
-                 F.lit(").")).alias("insight"),
-    )
+    text = F.concat(F.col("n").cast("string"), F.lit(" HIGH-severity alerts active (e.g. "),
+                    examples, F.lit(")."))
+    return counted.select(*_line(4, F.lit(""), text))
 
 
 def forecast_line(forecasts):
@@ -99,7 +104,7 @@ def forecast_line(forecasts):
         F.lit(" / "), F.col("region"), F.lit(") at "), S.fixed_text("total", 0),
         F.lit(" units over "), F.col("weeks").cast("string"), F.lit(" weeks."),
     )
-    return best.select(F.lit(5).alias("section"), F.lit("").alias("rank"), text.alias("insight"))
+    return best.select(*_line(5, F.lit(""), text))
 
 
 def generate_insights(weekly, alerts, forecasts=None, limit=K.INSIGHT_LIMIT):
@@ -111,4 +116,6 @@ def generate_insights(weekly, alerts, forecasts=None, limit=K.INSIGHT_LIMIT):
     if forecasts is not None:
         parts.append(forecast_line(forecasts))
     lines = reduce(lambda a, b: a.unionByName(b), parts)
-    return lines.orderBy("section", "rank").limit(limit).select("section", "rank", "insight")
+    order = ("section", "weight", "rank")
+    first = lines.orderBy(*order).limit(limit)
+    return first.select(F.row_number().over(Window.orderBy(*order)).alias("ordinal"), "insight")

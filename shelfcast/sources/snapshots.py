@@ -87,21 +87,21 @@ class SnapshotTable:
         counts = batch.groupBy(self._part().alias("part")).agg(F.count("*").alias("rows"))
         return {r["part"]: r["rows"] for r in counts.collect()}
 
-    def _checked(self, batch):
+    def _checked(self, batch, order):
         for name in [*batch.columns, *self.keys]:
             checked_identifier(name)
-        unknown = set(batch.columns) - set(self.schema.names)
+        unknown = set(batch.columns) - set(self.schema.names) - {order}
         if unknown:
             raise ValueError(f"columns not in the table: {sorted(unknown)}")
         return batch
 
     def _one_per_key(self, batch, pick, order):
         """One row per key by partial aggregation, so copies of a key shrink map-side."""
-        others = [c for c in batch.columns if c not in self.keys]
-        if not others:
-            return batch.distinct()
+        others = [c for c in batch.columns if c in self.schema.names and c not in self.keys]
         position = F.monotonically_increasing_id() if order is None else F.col(order)
         ordered = batch.withColumn("_position", position)
+        if not others:
+            return ordered.select(*self.keys).distinct()
         packed = pick(F.struct(*others), F.col("_position")).alias("_row")
         return ordered.groupBy(*self.keys).agg(packed).select(*self.keys, "_row.*")
 
@@ -119,8 +119,8 @@ class SnapshotTable:
         Columns the batch lacks keep their old values. A batch of keys alone adds
         the unknown ones. Only partitions the batch touches are read and rewritten.
         """
-        batch = self._checked(batch)
-        if set(batch.columns) <= set(self.keys):
+        batch = self._checked(batch, order)
+        if set(batch.columns) - {order} <= set(self.keys):
             return self.insert_new(batch, order)
         rows = self._batch_rows(batch)
         if not rows:
@@ -141,20 +141,19 @@ class SnapshotTable:
 
         The new rows are added next to the stored ones, which are not rewritten.
         """
-        batch = self._checked(batch)
+        batch = self._checked(batch, order)
         rows = self._batch_rows(batch)
         if not rows:
             return 0
         first = self._one_per_key(batch, F.min_by, order)
         stored = self.read(list(rows)).select(*self.keys)
         fresh = self._conformed(first.join(stored, list(self.keys), "left_anti"))
-        version_rows = self._batch_rows(fresh)
-        if version_rows:
-            self._commit(fresh, "add", version_rows)
+        fresh_rows = self._batch_rows(fresh)
+        if fresh_rows:
+            self._commit(fresh, "add", fresh_rows)
         return sum(rows.values())
 
 
-
 def table(spark, root, name, schema, part=None):
     """A table of the fixed list with its unique key."""
     checked_table(name)

@@ -7,6 +7,7 @@ from shelfcast import constants as K
 from shelfcast.schemas import DAILY
 from shelfcast.sources.snapshots import SnapshotTable
 
+SECONDS_PER_DAY = 86400
 WEEKLY_SUMS = T.StructType([
     T.StructField("sku", T.StringType()), T.StructField("week", T.DateType()),
     T.StructField("channel", T.StringType()), T.StructField("region", T.StringType()),
@@ -25,11 +26,11 @@ def stream_weekly_sums(daily_stream, late_days=K.SETTLE_DAYS):
     """Weekly sums of a daily stream; rows up to `late_days` late still count.
 
     The watermark bounds the state to the weeks still open. Seven-day windows start at
-    day 4 after the epoch's Thursday, which makes them begin on Mondays.
+    day 4 after the epoch's Thursday, which makes them begin on Mondays. Event times are
+    counted from the epoch day, so the session's time zone does not shift them.
     """
-    events = daily_stream.withColumn("ts", F.col("date").cast("timestamp_ntz")).withWatermark(
-        "ts", f"{late_days} days"
-    )
+    midnight = F.timestamp_seconds(F.unix_date("date") * SECONDS_PER_DAY)
+    events = daily_stream.withColumn("ts", midnight).withWatermark("ts", f"{late_days} days")
     week = F.window("ts", "7 days", startTime="4 days")
     sums = events.groupBy(*K.SERIES, week).agg(
         F.sum("units_sold").alias("units_sold"), F.sum("delivered_qty").alias("delivered_qty"),
@@ -37,7 +38,8 @@ def stream_weekly_sums(daily_stream, late_days=K.SETTLE_DAYS):
         F.max("promotion_flag").alias("promotion_flag"),
         F.avg("price_unit").alias("price_unit"), F.avg("delivery_days").alias("delivery_days"),
     )
-    return sums.withColumn("week", F.col("window.start").cast("date")).select(*WEEKLY_SUMS.names)
+    start_day = (F.unix_seconds("window.start") / SECONDS_PER_DAY).cast("int")
+    return sums.withColumn("week", F.date_from_unix_date(start_day)).select(*WEEKLY_SUMS.names)
 
 
 def run_weekly_stream(spark, source, table_root, checkpoint, late_days=K.SETTLE_DAYS):
