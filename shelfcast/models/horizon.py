@@ -4,10 +4,10 @@ from pyspark.sql import functions as F
 
 from shelfcast import constants as K
 from shelfcast.functions import scalars as S
-from shelfcast.models.ridge import ridge_score
+from shelfcast.models.ridge import score_with
 from shelfcast.operators.features import encoded_features, price_ratio
 from shelfcast.operators.windows import by_week, last_rows, whole_series
-from shelfcast.session import cut_lineage
+from shelfcast.session import cut_lineage, small_side
 
 
 STEPS = "array<struct<week:date,point:double,lower:double,upper:double>>"
@@ -26,7 +26,7 @@ def series_state(recent):
         "_price_sum": F.sum("price_unit").over(whole_series()),
         "_price_n": F.count("price_unit").over(whole_series()),
         "promo_lag_1": F.coalesce(F.lag("promotion_flag", 1).over(order), F.lit(0)),
-        "_origin": F.col("week"),
+        "_origin": F.col("week"), "_step": F.lit(0),
     }))
 
 
@@ -47,7 +47,11 @@ def state_features(state):
     }
 
 
-def next_state(step):
+def next_week():
+    return F.date_add("_origin", 7 * (F.col("_step") + 1))
+
+
+def next_state():
     """The state after `point` becomes the newest week.
 
     Lags move on, mean and deviation cover the last three units and the prediction;
@@ -59,7 +63,7 @@ def next_state(step):
     mean = sum((F.coalesce(v, F.lit(0.0)) for v in window), F.lit(0.0)) / known
     squares = sum((F.coalesce((v - mean) * (v - mean), F.lit(0.0)) for v in window), F.lit(0.0))
     return {
-        "week": F.date_add("_origin", 7 * step),
+        "week": next_week(), "_step": F.col("_step") + 1,
         "lag_2": F.col("lag_1"),
         "lag_1": point,
         "momentum": point - F.col("lag_1"),
@@ -73,10 +77,11 @@ def next_state(step):
     }
 
 
-def advance(state, predict, step):
+def advance(state, predict):
     """One step for all series: features, prediction, next state.
 
-    When the state carries `_steps`, the step's forecast is appended there.
+    When the state carries `_steps`, the step's forecast is appended there. The step
+    number is a column, so every step runs the same generated code.
     """
     ready = state.withColumns(state_features(state))
     own = [c for c in state.columns if c.startswith("_")]
@@ -86,11 +91,11 @@ def advance(state, predict, step):
         *[c for c in (*K.SERIES, "category") if c in state.columns],
     ))
     lower, upper = S.bracket("point", "lower", "upper")
-    forecast = F.struct(F.date_add("_origin", 7 * step).alias("week"), F.col("point"),
+    forecast = F.struct(next_week().alias("week"), F.col("point"),
                         lower.alias("lower"), upper.alias("upper"))
     steps = [F.concat("_steps", F.array(forecast)).alias("_steps")] if "_steps" in own else []
     done = scored.select(*[c for c in own if c != "_steps"], "_row.*", "point", *steps)
-    return done.withColumns(next_state(step)).drop("point")
+    return done.withColumns(next_state()).drop("point")
 
 
 def predict_horizon(recent, predict, weeks=K.HORIZON_DEFAULT):
@@ -105,7 +110,7 @@ def predict_horizon(recent, predict, weeks=K.HORIZON_DEFAULT):
         raise ValueError(f"horizon must lie in 1..{K.HORIZON_MAX} weeks, got {weeks}")
     state = cut_lineage(series_state(recent).withColumn("_steps", F.array().cast(STEPS)))
     for step in range(1, weeks + 1):
-        state = advance(state, predict, step)
+        state = advance(state, predict)
         if step < weeks:
             state = cut_lineage(state)
     kept = [c for c in (*K.SERIES, "category") if c in state.columns]
@@ -114,15 +119,10 @@ def predict_horizon(recent, predict, weeks=K.HORIZON_DEFAULT):
 
 def linear_predictor(model, features=K.FEATURES, key="category"):
     """Predictor from a ridge model table with one row per category."""
-    margin = K.RESIDUAL_Z * F.col("residual_std")
+    ready = small_side(model.drop("training_rows"))
 
     def predict(frame):
-        return (
-            frame.join(model.drop("training_rows"), key)
-            .withColumn("point", ridge_score(features))
-            .withColumns({"lower": F.col("point") - margin, "upper": F.col("point") + margin})
-            .drop("intercept", "coefficients", "residual_std")
-        )
+        return score_with(frame, ready, (key,), features)
 
     return predict
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast import constants as K
+from shelfcast.session import small_side
 
 SALT = 32
 
@@ -112,12 +113,17 @@ def ridge_score(features, intercept="intercept", coefficients="coefficients"):
 def predict_ridge(frame, model, keys, features):
     """Point and interval per row; `model` has one row per group (category or fold).
 
-    The join has no hint: Spark broadcasts the model by its measured size, and splits
-    skewed groups otherwise.
+    The model is computed once and broadcast when its row count allows, so scored rows
+    are not shuffled and a hot group stays spread out.
     """
+    return score_with(frame, small_side(model.drop("training_rows")), keys, features)
+
+
+def score_with(frame, model, keys, features):
+    """Scoring with a model table that is ready to join."""
     margin = K.RESIDUAL_Z * F.col("residual_std")
     return (
-        frame.join(model.drop("training_rows"), list(keys))
+        frame.join(model, list(keys))
         .withColumn("point", ridge_score(features))
         .withColumns({"lower": F.col("point") - margin, "upper": F.col("point") + margin})
         .drop("intercept", "coefficients", "residual_std")

@@ -8,13 +8,14 @@ from shelfcast import constants as K
 from shelfcast.functions import scalars as S
 from shelfcast.operators.cleaning import require_columns
 from shelfcast.operators.windows import fill_series, last_rows, previous_promotion
+from shelfcast.session import small_side
 
 
 def price_reference(frame, groups):
     """Mean price per category, or of the whole frame when it has no category.
 
-    Computed as an aggregation joined back, not as a window: a category may hold a
-    third of all rows, and a window would put it into one task.
+    Computed as a narrow aggregation joined back, not as a window: a category may hold
+    a third of all rows, and a window would put it into one task.
     """
     keys = [*groups, *(["category"] if "category" in frame.columns else [])]
     if not keys:
@@ -24,7 +25,7 @@ def price_reference(frame, groups):
     means = frame.groupBy(*keys).agg(F.avg("price_unit").alias("_price_mean"))
     renamed = means.withColumnsRenamed({k: f"_k_{k}" for k in keys})
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    return frame.join(renamed, same, "left").drop(*[f"_k_{k}" for k in keys])
+    return frame.join(small_side(renamed), same, "left").drop(*[f"_k_{k}" for k in keys])
 
 
 def encoded_features():

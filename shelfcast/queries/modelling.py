@@ -211,7 +211,7 @@ def k8(t):
 """, "lag_1 lag_2 rolling_mean_4 rolling_std_4 momentum")
 def k9(t):
     state = horizon.series_state(recent_history(t.weekly_categorised))
-    after = horizon.advance(state, horizon.linear_predictor(given_model(t)), 1)
+    after = horizon.advance(state, horizon.linear_predictor(given_model(t)))
     return after.select(*K.SERIES, "week", *K.LAG_COLUMNS, "promo_lag_1")
 
 
@@ -266,10 +266,12 @@ def k11(t):
 
 
 @query("k12_batch_job", BATCH_SQL + """
-    SELECT 'batch-1' AS batch_id, sku, week, channel, region, point AS predicted_units,
-      point - 12.816 AS confidence_lower, point + 12.816 AS confidence_upper,
+    SELECT 'batch-1' AS batch_id, sku, week, channel, region,
+      CAST(point AS DECIMAL(14, 4)) AS predicted_units,
+      CAST(point - 12.816 AS DECIMAL(14, 4)) AS confidence_lower,
+      CAST(point + 12.816 AS DECIMAL(14, 4)) AS confidence_upper,
       concat('ridge_', category) AS model_version FROM steps WHERE step > 0
-""", "predicted_units confidence_lower confidence_upper", digits=3)
+""", "predicted_units confidence_lower confidence_upper")
 def k12(t):
     root = scratch_path(t.spark, "batch")
     t.daily.write.parquet(f"{root}/input")

@@ -4,6 +4,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 10_000
 
 
 def local_session(app="shelfcast", cores="*", shuffle_partitions=8, memory="20g"):
@@ -47,3 +50,12 @@ def cut_lineage(df):
     """Reliable checkpoint in the shared folder (survives lost executors)."""
     shared_root(df.sparkSession)
     return df.checkpoint()
+
+
+def small_side(df, max_rows=BROADCAST_ROWS):
+    """A computed lookup for a join: broadcast when counted small, left to Spark beyond.
+
+    The lookup is written once, so the count is cheap and its plan does not run again.
+    """
+    written = cut_lineage(df)
+    return F.broadcast(written) if written.count() <= max_rows else written
