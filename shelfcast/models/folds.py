@@ -97,9 +97,8 @@ def ridge_fold_metrics(features, names=K.FEATURES, alpha=K.RIDGE_ALPHA):
 def boosted_fold_metrics(features, names=K.FEATURES, **settings):
     """The same for boosted trees: one distributed fit per category and fold.
 
-    The loop is over the model list (categories x folds), never over data.
+    `features` is best a written frame, as every fit reads its part of it. The loop is over the model list (categories x folds), never over data.
     """
-    features = cut_lineage(features)
     scored = None
     for row in features.select(*FOLD).distinct().orderBy(*FOLD).collect():
         part = features.filter((F.col("category") == row["category"]) & (F.col("fold") == row["fold"]))
@@ -118,7 +117,7 @@ def walk_forward(weekly, kind="gbr", boosting_settings=None, **fold_settings):
     """Fold metrics per category for `gbr` or `ridge`."""
     if kind not in ("gbr", "ridge"):
         raise ValueError(f"unknown model kind: {kind!r}")
-    features = fold_features(weekly, **fold_settings)
+    features = cut_lineage(fold_features(weekly, **fold_settings))
     if kind == "ridge":
         return ridge_fold_metrics(features)
     return boosted_fold_metrics(features, **(boosting_settings or {}))

@@ -7,6 +7,8 @@ no hint: Spark broadcasts the side by its measured size or splits skewed keys.
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from shelfcast import constants as K
@@ -220,24 +222,57 @@ def numeric_columns(frame):
     return [n for n, t in frame.dtypes if t in kinds or t.startswith("decimal")]
 
 
+def _pair_sums(frame, names, centre):
+    """Per column pair: rows with both values and the sums a correlation needs.
+
+    Each task multiplies its batches' matrices with numpy and emits one row per pair;
+    the rows then add up in Spark. Values are centred first, which keeps the sums small.
+    """
+    schema = "left int, right int, n double, sx double, sy double, sxx double, syy double, sxy double"
+    size = len(names)
+    middle = np.array([centre[c] for c in names])
+
+    def per_task(batches):
+        total = np.zeros((6, size, size))
+        for batch in batches:
+            values = batch.to_numpy(dtype=float) - middle
+            known = (~np.isnan(values)).astype(float)
+            x = np.nan_to_num(values)
+            total += (known.T @ known, x.T @ known, known.T @ x, (x * x).T @ known,
+                      known.T @ (x * x), x.T @ x)
+        left, right = np.indices((size, size)).reshape(2, -1)
+        sums = total.reshape(6, -1)
+        yield pd.DataFrame(dict(zip(
+            ("left", "right", "n", "sx", "sy", "sxx", "syy", "sxy"), (left, right, *sums)
+        )))
+
+    narrow = frame.select(*[F.col(c).cast("double").alias(c) for c in names])
+    return narrow.mapInPandas(per_task, schema).groupBy("left", "right").agg(
+        *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]
+    )
+
+
 def correlations(frame, columns=None):
     """Pearson correlation of every column pair in long form, 0 where undefined.
 
-    All pairs are measured in one aggregation; only rows with both values count.
+    Only rows with both values count for a pair.
     """
     names = list(columns or numeric_columns(frame))
-    value = {c: F.col(c).cast("double") for c in names}
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    complete = {
-        (a, b): F.coalesce(F.nanvl(F.corr(value[a], value[b]), F.lit(None)), F.lit(0.0))
-        for a, b in pairs
-    }
-    wide = frame.agg(*[e.alias(f"{a}|{b}") for (a, b), e in complete.items()])
-    cells = [
-        F.struct(F.lit(x).alias("left"), F.lit(y).alias("right"), F.col(f"`{a}|{b}`").alias("corr"))
-        for a, b in pairs for x, y in {(a, b), (b, a)}
-    ]
-    return wide.select(F.inline(F.array(*cells)))
+    means = frame.agg(*[
+        F.coalesce(F.avg(S.nan_to_null(F.col(c).cast("double"))), F.lit(0.0)).alias(c)
+        for c in names
+    ]).first()
+    spread = (
+        (F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx"))
+        * (F.col("n") * F.col("syy") - F.col("sy") * F.col("sy"))
+    )
+    shared = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
+    corr = F.when(spread > 0, F.try_divide(shared, F.sqrt(spread)))
+    label = F.array(*[F.lit(c) for c in names])
+    return _pair_sums(frame, names, means.asDict()).select(
+        F.get(label, F.col("left")).alias("left"), F.get(label, F.col("right")).alias("right"),
+        F.coalesce(corr, F.lit(0.0)).alias("corr"),
+    )
 
 
 def ranked_correlations(frame, columns, target):

@@ -16,22 +16,23 @@ _LOADED = {}
 
 
 class StoredTables(StarTables):
-    def _stored(self, name, frame, date):
+    def _stored(self, name, build, date):
+        """The stored table; `build` gives its plan and is only called for the load."""
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in _LOADED:
-            path = scratch_path(self.spark, name)
+            frame, path = build(), scratch_path(self.spark, name)
             frame.withColumn("_year", F.year(date)).write.partitionBy("_year").parquet(path)
-            _LOADED[key] = path
-        schema = frame.schema
-        return self.spark.read.schema(schema).parquet(_LOADED[key]).select(*schema.names)
+            _LOADED[key] = path, frame.schema
+        path, schema = _LOADED[key]
+        return self.spark.read.schema(schema).parquet(path).select(*schema.names)
 
     @cached_property
     def daily(self):
-        return self._stored("daily", StarTables(self.spark, self.folder).daily, "date")
+        return self._stored("daily", lambda: StarTables(self.spark, self.folder).daily, "date")
 
     @cached_property
     def weekly(self):
-        return self._stored("weekly", self.weekly_computed, "week")
+        return self._stored("weekly", lambda: self.weekly_computed, "week")
 
     @cached_property
     def weekly_computed(self):

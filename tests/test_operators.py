@@ -221,3 +221,11 @@ def test_arguments_are_checked(small):
         analytics.top_products(small.weekly_categorised, 0)
     with pytest.raises(ValueError):
         analytics.sales_summary(small.daily_sales, small.products, "2001-01-02", "2001-01-01")
+
+
+def test_correlations_are_pairwise_complete(spark):
+    rows = [(1.0, 2.0, 5.0), (2.0, 4.0, None), (3.0, None, 5.0), (4.0, 7.0, 5.0)]
+    frame = spark.createDataFrame(rows, "a double, b double, c double")
+    want = frame.toPandas().corr().fillna(0.0)
+    for r in analytics.correlations(frame).collect():
+        assert abs(r["corr"] - want.loc[r["left"], r["right"]]) < 1e-12
