@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from shelfcast import constants as K
 from shelfcast.functions import scalars as S
-from shelfcast.models.ridge import score_with
+from shelfcast.models.ridge import score_columns, score_with
 from shelfcast.operators.features import encoded_features, price_ratio
 from shelfcast.operators.windows import by_week, last_rows, whole_series
 from shelfcast.session import cut_lineage, small_side
@@ -30,7 +30,7 @@ def series_state(recent):
     }))
 
 
-def state_features(state):
+def state_features(columns):
     """Features of the current state; missing values count as 0."""
     mean_price = F.try_divide(F.col("_price_sum"), F.col("_price_n"))
     derived = {
@@ -39,7 +39,7 @@ def state_features(state):
         "stock_to_demand_ratio": S.safe_divide("stock_available", "rolling_mean_4"),
         "promo_lag_1": F.col("promo_lag_1"),
     }
-    present = set(state.columns)
+    present = set(columns)
     return {
         f"_x_{c}": F.coalesce(
             derived[c] if c in derived else F.col(c) if c in present else F.lit(0.0), F.lit(0.0)
@@ -77,25 +77,31 @@ def next_state():
     }
 
 
-def advance(state, predict):
+def stepper(columns, predict):
     """One step for all series: features, prediction, next state.
 
     When the state carries `_steps`, the step's forecast is appended there. The step
-    number is a column, so every step runs the same generated code.
+    number is a column and the expressions are built once, so every step has the same
+    plan and the same generated code.
     """
-    ready = state.withColumns(state_features(state))
-    own = [c for c in state.columns if c.startswith("_")]
-    scored = predict(ready.select(
+    own = [c for c in columns if c.startswith("_")]
+    kept = [c for c in (*K.SERIES, "category") if c in columns]
+    features, after = state_features(columns), next_state()
+    given = [
         *own, *[F.col(f"_x_{c}").alias(c) for c in K.FEATURES],
-        F.struct(*[c for c in state.columns if not c.startswith("_")]).alias("_row"),
-        *[c for c in (*K.SERIES, "category") if c in state.columns],
-    ))
+        F.struct(*[c for c in columns if not c.startswith("_")]).alias("_row"), *kept,
+    ]
     lower, upper = S.bracket("point", "lower", "upper")
-    forecast = F.struct(next_week().alias("week"), F.col("point"),
-                        lower.alias("lower"), upper.alias("upper"))
+    forecast = F.struct(next_week().alias("week"), F.col("point"), lower.alias("lower"),
+                        upper.alias("upper"))
     steps = [F.concat("_steps", F.array(forecast)).alias("_steps")] if "_steps" in own else []
-    done = scored.select(*[c for c in own if c != "_steps"], "_row.*", "point", *steps)
-    return done.withColumns(next_state()).drop("point")
+    done = [*[c for c in own if c != "_steps"], "_row.*", "point", *steps]
+
+    def advance(state):
+        scored = predict(state.withColumns(features).select(*given))
+        return scored.select(*done).withColumns(after).drop("point")
+
+    return advance
 
 
 def predict_horizon(recent, predict, weeks=K.HORIZON_DEFAULT):
@@ -109,8 +115,9 @@ def predict_horizon(recent, predict, weeks=K.HORIZON_DEFAULT):
     if not 1 <= weeks <= K.HORIZON_MAX:
         raise ValueError(f"horizon must lie in 1..{K.HORIZON_MAX} weeks, got {weeks}")
     state = cut_lineage(series_state(recent).withColumn("_steps", F.array().cast(STEPS)))
+    advance = stepper(state.columns, predict)
     for step in range(1, weeks + 1):
-        state = advance(state, predict)
+        state = advance(state)
         if step < weeks:
             state = cut_lineage(state)
     kept = [c for c in (*K.SERIES, "category") if c in state.columns]
@@ -119,10 +126,10 @@ def predict_horizon(recent, predict, weeks=K.HORIZON_DEFAULT):
 
 def linear_predictor(model, features=K.FEATURES, key="category"):
     """Predictor from a ridge model table with one row per category."""
-    ready = small_side(model.drop("training_rows"))
+    ready, columns = small_side(model.drop("training_rows")), score_columns(features)
 
     def predict(frame):
-        return score_with(frame, ready, (key,), features)
+        return score_with(frame, ready, (key,), columns)
 
     return predict
 

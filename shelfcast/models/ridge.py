@@ -116,15 +116,20 @@ def predict_ridge(frame, model, keys, features):
     The model is computed once and broadcast when its row count allows, so scored rows
     are not shuffled and a hot group stays spread out.
     """
-    return score_with(frame, small_side(model.drop("training_rows")), keys, features)
+    ready = small_side(model.drop("training_rows"))
+    return score_with(frame, ready, keys, score_columns(features))
 
 
-def score_with(frame, model, keys, features):
+def score_columns(features):
+    """Point and interval expressions over a row joined with its model."""
+    point, margin = ridge_score(features), K.RESIDUAL_Z * F.col("residual_std")
+    return {"point": point}, {"lower": F.col("point") - margin, "upper": F.col("point") + margin}
+
+
+def score_with(frame, model, keys, columns):
     """Scoring with a model table that is ready to join."""
-    margin = K.RESIDUAL_Z * F.col("residual_std")
+    point, interval = columns
     return (
-        frame.join(model, list(keys))
-        .withColumn("point", ridge_score(features))
-        .withColumns({"lower": F.col("point") - margin, "upper": F.col("point") + margin})
+        frame.join(model, list(keys)).withColumns(point).withColumns(interval)
         .drop("intercept", "coefficients", "residual_std")
     )

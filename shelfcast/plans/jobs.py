@@ -187,6 +187,9 @@ def _save(catalog, category, winner, train, linear, features, interval, boosting
         model = linear.filter(F.col("category") == category)
         return catalog.save_ridge(model, name, features=features, category=category, **card)
     forecaster = boosting.train_boosted(own, features, interval, **boosting_settings)
+    if card.get("metrics") is None:
+        scored = metrics.evaluate(forecaster.predict(own), "target", "point").first()
+        card["metrics"] = {m: scored[m] for m in folds.METRICS}
     return catalog.save_boosted(forecaster, name, features=features, category=category, **card)
 
 
@@ -308,7 +311,7 @@ def train_all(weekly, catalog, starts=K.KMEANS_STARTS, interval="quantile",
     for category, row in _per_category(compared).items():
         own = {m: in_sample[category][m] for m in folds.METRICS}
         _save(catalog, category, row["winner"], train, linear, names, interval,
-              boosting_settings, metrics=own if row["winner"] == "ridge" else {},
+              boosting_settings, metrics=own if row["winner"] == "ridge" else None,
               training_rows=sizes[category])
     features = behaviour.sku_features(panel)
     clusters = fit_clustering(features, starts)

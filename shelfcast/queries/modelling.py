@@ -211,7 +211,8 @@ def k8(t):
 """, "lag_1 lag_2 rolling_mean_4 rolling_std_4 momentum")
 def k9(t):
     state = horizon.series_state(recent_history(t.weekly_categorised))
-    after = horizon.advance(state, horizon.linear_predictor(given_model(t)))
+    predict = horizon.linear_predictor(given_model(t))
+    after = horizon.stepper(state.columns, predict)(state)
     return after.select(*K.SERIES, "week", *K.LAG_COLUMNS, "promo_lag_1")
 
 
