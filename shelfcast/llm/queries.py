@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from shelfcast.llm import exact, language, mixing, url_rules
+from shelfcast.llm import exact, language, mixing, pivots, quality, token_count, url_rules
 from shelfcast.llm.arrow import id_remainder
+from shelfcast.session import cut_lineage
 
 QUERIES, SQL = {}, {}
 
@@ -30,6 +31,13 @@ def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def vocabulary(name="byte_bpe_50k.json"):
+    """Path of a public tokenizer's file on the driver."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 @query("op1_language_id")
 def op1_language_id(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -39,6 +47,44 @@ def op1_language_id(spark, folder):
     return language.identify(asked, profiles).drop("text")
 
 
+@query("op2_quality_scores")
+def op2_quality_scores(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    stats = cut_lineage(quality.with_statistics(docs))
+    labels = (
+        table(spark, folder, "labels").where("quality is not null and doc_id is not null")
+        .groupBy(F.col("doc_id").alias("labelled")).agg(F.avg("quality").alias("label"))
+    )
+    part = id_remainder("doc_id", 5)
+    taught = stats.join(labels, F.col("doc_id") == F.col("labelled")).where(part != 0)
+    model = quality.fit(taught, calibrate=part == 1)
+    return quality.score(stats.withColumn("held_out", F.coalesce(part == 0, F.lit(False))), model, 0.3)
+
+
+@query("op3_token_counts")
+def op3_token_counts(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_count.count_tokens(docs, vocabulary(), limit=512).drop("text")
+
+
+@query("op6_exact_top_k", """
+WITH v AS (
+  SELECT vec_id, min(list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256))) AS ints FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.ints, c.ints) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+""")
+def op6_exact_top_k(spark, folder):
+    table_of = pivots.quantised(table(spark, folder, "embeddings"))
+    return pivots.top_k(table_of, F.col("vec_id") % 50 == 0, k=5)
+
+
 @query("op8_source_mix", """
 WITH RECURSIVE keyed AS (
   SELECT doc_id, coalesce(source, '') AS source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
