@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelfcast.llm import exact, language, mixing, pivots, quality, token_count, url_rules
+from shelfcast.llm import exact, language, mixing, packing, pivots, quality, token_count, url_rules
 from shelfcast.llm.arrow import id_remainder
 from shelfcast.session import cut_lineage
 
@@ -67,6 +67,12 @@ def op3_token_counts(spark, folder):
     return token_count.count_tokens(docs, vocabulary(), limit=512).drop("text")
 
 
+@query("op4_retrieval_packing")
+def op4_retrieval_packing(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return packing.pack(docs, vocabulary(), window=1024, end_id=0, with_ids=False)
+
+
 @query("op6_exact_top_k", """
 WITH v AS (
   SELECT vec_id, min(list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256))) AS ints FROM embeddings
