@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelfcast.llm import exact, language, mixing, packing, pivots, quality, token_count, url_rules
+from shelfcast.llm import exact, language, mixing, packing, pivots, quality, substrings, token_count, url_rules
 from shelfcast.llm.arrow import id_remainder
 from shelfcast.session import cut_lineage
 
@@ -73,6 +73,13 @@ def op4_retrieval_packing(spark, folder):
     return packing.pack(docs, vocabulary(), window=1024, end_id=0, with_ids=False)
 
 
+@query("op5_substring_dedup")
+def op5_substring_dedup(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    cleaned = substrings.remove_repeats(docs, window=20)
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query("op6_exact_top_k", """
 WITH v AS (
   SELECT vec_id, min(list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256))) AS ints FROM embeddings
