@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelfcast.llm import exact, language, mixing, packing, pivots, quality, substrings, token_count, url_rules
+from shelfcast.llm import exact, jaccard, language, mixing, packing, pivots, quality, substrings, token_count, url_rules
 from shelfcast.llm.arrow import id_remainder
 from shelfcast.session import cut_lineage
 
@@ -98,6 +98,12 @@ def op6_exact_top_k(spark, folder):
     return pivots.top_k(table_of, F.col("vec_id") % 50 == 0, k=5)
 
 
+@query("op7_ngram_jaccard")
+def op7_ngram_jaccard(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return jaccard.similar_groups(docs, size=3, top=90, bottom=100)
+
+
 @query("op8_source_mix", """
 WITH RECURSIVE keyed AS (
   SELECT doc_id, coalesce(source, '') AS source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
