@@ -10,7 +10,9 @@ from shelfcast.session import scratch_path
 STAGES = [
     ("language_id", stages.keep_known_language),
     ("exact_dedup", stages.drop_exact_copies),
+    ("ngram_jaccard", stages.drop_near_copies),
     ("source_mix", stages.mix_sources),
+    ("retrieval_packing", stages.pack_sequences),
 ]
 
 #: Learned profiles and tokenisers have no SQL form; tests compare with brute force.

@@ -30,7 +30,7 @@ from shelfcast.session import cut_lineage
 #: Counters of the sketch, in pieces that are added up apart, and hash ranges of the last filter.
 COUNTERS, PIECES, RANGES = 2**20, 16, 32
 _LIGHT = pa.schema([
-    ("row", pa.int64()), ("class", pa.int64()), ("second", pa.int64()), ("size", pa.int32()),
+    ("row", pa.int64()), ("key", pa.int64()), ("class", pa.int64()), ("second", pa.int64()), ("size", pa.int32()),
     ("piece", pa.int32()), ("counts", pa.binary()),
 ])
 
@@ -76,15 +76,17 @@ def _light(rows, size, seed):
                     out.append((*_class_of(grams), len(grams)))
             if out:
                 none = [None] * len(out)
-                yield batch_of(_LIGHT, batch.column("row"), *map(list, zip(*out)), none, none)
+                yield batch_of(
+                    _LIGHT, batch.column("row"), batch.column("key"), *map(list, zip(*out)), none, none
+                )
         width = COUNTERS // PIECES
         for p in range(PIECES):
             piece = counts[p * width:(p + 1) * width]
             if piece.any():
-                yield batch_of(_LIGHT, *[[None]] * 4, [p], [zlib.compress(piece.tobytes(), 1)])
+                yield batch_of(_LIGHT, *[[None]] * 5, [p], [zlib.compress(piece.tobytes(), 1)])
 
     return cut_lineage(rows.mapInArrow(
-        read, "row long, class long, second long, size int, piece int, counts binary"
+        read, "row long, key long, class long, second long, size int, piece int, counts binary"
     ))
 
 
@@ -270,20 +272,10 @@ def _classes(rows, size):
         seed += 1
 
 
-def similar_groups(docs, size=5, top=80, bottom=100, doc_id="doc_id", text="text"):
-    """One row per document: doc_id, n_shingles, component_id.
-
-    A document's set holds its distinct runs of `size` words, A-Z lower-cased (all its words
-    as one run if it has fewer). Two documents link when their sets' Jaccard index is at
-    least top/bottom; component_id is the smallest doc_id reachable by links, its own
-    included. Empty sets link with nothing.
-
-    A null text has no words. A null id takes no part in the minimum: it is the component_id
-    only of a document that links with no other id. Repeated rows are documents of their own
-    with equal sets. Ids must fit a long. Only doc_id and text of `docs` are read.
-    """
+def _groups(docs, size, top, bottom, doc_id, text):
+    """(row, key, size, least) per document: id, text hash, set size and the group's least id."""
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(doc_id).cast("long").alias("row"), body.alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("row"), F.xxhash64(body).alias("key"), body.alias("text"))
     light, classes, seed = _classes(rows, size)
     entries = _entries(rows, _sketch(light), size, seed, top, bottom)
     shared = (
@@ -304,9 +296,36 @@ def similar_groups(docs, size=5, top=80, bottom=100, doc_id="doc_id", text="text
     )
     least = grouped.groupBy(F.col("part").alias("in_part")).agg(F.min("rep").alias("least"))
     named = grouped.join(least, F.col("part") == F.col("in_part")).select("in_class", "least")
-    documents = light.where("piece is null").select("row", "class", "size")
+    documents = light.where("piece is null").select("row", "key", "class", "size")
     joined = documents.where("size > 0").join(named, F.col("class") == F.col("in_class"))
-    alone = documents.where("size = 0").select("row", "size", F.col("row").alias("least"))
-    return joined.select("row", "size", "least").union(alone).select(
+    alone = documents.where("size = 0").select("row", "key", "size", F.col("row").alias("least"))
+    return joined.select("row", "key", "size", "least").union(alone)
+
+
+def similar_groups(docs, size=5, top=80, bottom=100, doc_id="doc_id", text="text"):
+    """One row per document: doc_id, n_shingles, component_id.
+
+    A document's set holds its distinct runs of `size` words, A-Z lower-cased (all its words
+    as one run if it has fewer). Two documents link when their sets' Jaccard index is at
+    least top/bottom; component_id is the smallest doc_id reachable by links, its own
+    included. Empty sets link with nothing.
+
+    A null text has no words. A null id takes no part in the minimum: it is the component_id
+    only of a document that links with no other id. Repeated rows are documents of their own
+    with equal sets. Ids must fit a long. Only doc_id and text of `docs` are read.
+    """
+    return _groups(docs, size, top, bottom, doc_id, text).select(
         F.col("row").alias(doc_id), F.col("size").cast("long").alias("n_shingles"), F.col("least").alias("component_id")
     )
+
+
+def drop_similar(docs, size=5, top=80, bottom=100, doc_id="doc_id", text="text"):
+    """The rows of `docs` without those that link, however far, with a smaller id.
+
+    One document of each group stays, the one with the smallest id; columns are unchanged.
+    Rows that repeat the id and text of the one that stays all stay.
+    """
+    later = _groups(docs, size, top, bottom, doc_id, text).where("not (row <=> least)")
+    gone = later.select(F.col("row").alias("__row"), F.col("key").alias("__key")).distinct()
+    same = F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("__key")
+    return docs.join(gone, F.col(doc_id).cast("long").eqNullSafe(F.col("__row")) & same, "left_anti")

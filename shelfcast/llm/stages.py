@@ -2,15 +2,23 @@
 
 from pyspark.sql import functions as F
 
-from shelfcast.llm import exact, language, mixing
+from shelfcast.llm import exact, jaccard, language, mixing, packing
+from shelfcast.llm.queries import vocabulary
 
 #: Cosine with the best language below which a text counts as no known language.
 LEAST_COSINE = 0.05
+#: Bytes of text that are packed together.
+SHARD_BYTES = 4_000_000
 
 
 def keep_known_language(spark, docs, sf_dir):
-    """Documents whose text has letters and resembles a language learned from `lang`."""
+    """Documents whose text has letters and resembles a language learned from `lang`.
+
+    Where no row names a language nothing can be learned, and all documents stay.
+    """
     profiles = language.fit_profiles(docs, dimensions=1024)
+    if not profiles.languages:
+        return docs
     judged = language.identify(docs, profiles, prefix="__")
     known = (F.col("__lang_pred") != language.UNKNOWN) & (F.col("__score") >= LEAST_COSINE)
     return judged.where(known).select(*docs.columns)
@@ -21,9 +29,31 @@ def drop_exact_copies(spark, docs, sf_dir):
     return exact.drop_copies(docs)
 
 
+def drop_near_copies(spark, docs, sf_dir):
+    """One document of each group linked by a Jaccard index of 0.8 over runs of five words."""
+    return jaccard.drop_similar(docs, size=5, top=80, bottom=100)
+
+
 def mix_sources(spark, docs, sf_dir):
-    """All documents, written in mixed order: files in sequence, rows in sequence within them."""
+    """All documents, written in mixed order: file after file, row after row."""
     mixed = mixing.mix(docs)
-    parts = spark.conf.get("spark.sql.shuffle.partitions")
-    ordered = mixed.repartitionByRange(int(parts), "position").sortWithinPartitions("position")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = mixed.repartitionByRange(parts, "position").sortWithinPartitions("position")
     return ordered.select(*docs.columns)
+
+
+def pack_sequences(spark, docs, sf_dir):
+    """Pieces of sequences (see packing.pack), each shard a run of the mixed order.
+
+    `docs` are Parquet files in that order: the place of a row is its file and its row number
+    there, so every shard holds the sources in their target shares and seeds come in turn.
+    """
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + packing.ROW_BYTES)
+    n, total = docs.agg(F.count(F.lit(1)), size).first()
+    per_shard = max(1, n * SHARD_BYTES // max(total or 0, 1))
+    placed = docs.select(
+        "doc_id", "text", F.col("_metadata.row_index").alias("row"),
+        F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long").alias("file"),
+    )
+    shard = F.col("file") * 2**20 + F.floor(F.col("row") / per_shard)
+    return packing.pack(placed, vocabulary(), shard=shard, order=[F.col("file"), F.col("row")])
