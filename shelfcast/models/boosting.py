@@ -1,131 +1,192 @@
-"""Boosted trees: Spark ML for the mean, quantile boosting on Spark ML trees."""
+"""Boosted trees for the mean and for quantiles, every model of a job in one pass.
+
+The rows of each model (a category, a fold, ...) are grouped by its key and head, and a task
+grows all trees of one model on histograms of binned features. A model is fitted on at most
+`fit_rows` rows, chosen by a hash of the row; up to that many it sees every row. Scoring is
+one vectorised pass over the rows, whatever the number of trees and models.
+"""
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (
-    DecisionTreeRegressor,
-    GBTRegressionModel,
-    GBTRegressor,
-)
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from shelfcast import constants as K
-from shelfcast.functions import scalars as S
-from shelfcast.session import cut_lineage
 
 MAX_BINS = 64
-CHECKPOINT_EVERY = 10
-FORECASTER_TABLE = "features array<string>, low double, high double, heads boolean"
-LEAF_TABLE = "quantile double, rate double, start double, tree int, leaf int, value double"
+#: Rows that a model is fitted on at most; its task holds that many rows of features.
+FIT_ROWS = 500_000
+POINT = "point"
+TREES = (
+    "head string, start double, rate double, rounds int, training_rows long, "
+    "feature array<int>, threshold array<double>, value array<double>"
+)
+SETTINGS = "features array<string>, low double, high double"
+_SCORE_ROWS = 4096
 
 
-def assembled(frame, features):
-    """Feature vector column; features the frame lacks count as 0."""
-    absent = {c: F.lit(0.0) for c in features if c not in frame.columns}
-    return VectorAssembler(inputCols=list(features), outputCol="features").transform(
-        frame.withColumns(absent) if absent else frame
-    )
+@dataclass(frozen=True)
+class Trees:
+    """Complete binary trees in heap order: one row per tree, feature -1 marks a leaf."""
 
+    start: float
+    rate: float
+    feature: np.ndarray
+    threshold: np.ndarray
+    value: np.ndarray
 
-def fit_mean(vectors, rounds=K.BOOSTING["rounds"], depth=K.BOOSTING["depth"],
-             rate=K.BOOSTING["rate"], min_leaf=K.BOOSTING["min_leaf"]):
-    """Gradient-boosted trees for the conditional mean."""
-    return GBTRegressor(
-        featuresCol="features", labelCol="target", predictionCol="point", maxIter=rounds,
-        maxDepth=depth, stepSize=rate, minInstancesPerNode=min_leaf, maxBins=MAX_BINS,
-        seed=K.BOOSTING["seed"], checkpointInterval=CHECKPOINT_EVERY,
-    ).fit(vectors)
+    def score(self, matrix):
+        parts = [self._score(matrix[i:i + _SCORE_ROWS]) for i in range(0, len(matrix), _SCORE_ROWS)]
+        return np.concatenate(parts) if parts else np.zeros(0)
 
+    def _score(self, matrix):
+        rows, trees = np.arange(len(matrix))[:, None], np.arange(len(self.feature))
+        node = np.zeros((len(matrix), len(trees)), dtype=np.int64)
+        while True:
+            split = self.feature[trees, node]
+            if (split < 0).all():
+                return self.start + self.rate * self.value[trees, node].sum(axis=1)
+            below = matrix[rows, np.maximum(split, 0)] <= self.threshold[trees, node]
+            node = np.where(split < 0, node, 2 * node + 2 - below)
 
-@dataclass
-class QuantileBooster:
-    """Start value, trees and, per tree, the value of each leaf."""
 
-    quantile: float
-    rate: float
-    start: float
-    trees: list
-    leaves: list
-
-    def score(self, vectors, output):
-        """Adds the quantile estimate; leaf values sit in the plan as small literal maps."""
-        scored = vectors.withColumn(output, F.lit(self.start))
-        for tree, values in zip(self.trees, self.leaves):
-            scored = _with_leaf(scored, tree).withColumn(
-                output, F.col(output) + self.rate * _leaf_value(values)
-            ).drop("_leaf")
-        return scored
+def _edges(matrix):
+    """Upper bin edges per feature, at quantiles of its values."""
+    shares = np.linspace(0, 1, MAX_BINS + 1)[1:-1]
+    return [np.unique(np.quantile(column, shares, method="lower")) for column in matrix.T]
 
-    def save(self, spark, path):
-        """Trees as a Spark ML model, leaf values as a table with one row per leaf."""
-        PipelineModel(stages=list(self.trees)).write().overwrite().save(f"{path}/trees")
-        rows = [
-            (self.quantile, self.rate, self.start, i, int(leaf), float(value))
-            for i, values in enumerate(self.leaves) for leaf, value in values.items()
-        ]
-        spark.createDataFrame(rows, LEAF_TABLE).coalesce(1).write.mode("overwrite").parquet(
-            f"{path}/leaves"
-        )
 
-    @staticmethod
-    def load(spark, path):
-        trees = PipelineModel.load(f"{path}/trees").stages
-        rows = spark.read.parquet(f"{path}/leaves").collect()
-        leaves = [{} for _ in trees]
-        for row in rows:
-            leaves[row["tree"]][row["leaf"]] = row["value"]
-        first = rows[0]
-        return QuantileBooster(first["quantile"], first["rate"], first["start"], trees, leaves)
+def _best_splits(codes, node, width, gradient, min_leaf):
+    """Best (gain, feature, bin) of every node of a level, from histograms of the gradient."""
+    features = codes.shape[1]
+    at = codes + (node * (features * MAX_BINS))[:, None]
+    size = width * features * MAX_BINS
+    shape = (width, features, MAX_BINS)
+    n = np.bincount(at.ravel(), minlength=size).reshape(shape).cumsum(axis=2)
+    g = np.bincount(at.ravel(), np.repeat(gradient, features), minlength=size).reshape(shape).cumsum(axis=2)
+    all_n, all_g = n[:, :, -1:], g[:, :, -1:]
+    right_n, right_g = all_n - n, all_g - g
+    usable = (n >= min_leaf) & (right_n >= min_leaf)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = np.where(usable, g * g / n + right_g * right_g / right_n - all_g * all_g / all_n, -1.0)
+    flat = gain.reshape(width, -1)
+    best = flat.argmax(axis=1)
+    return flat[np.arange(width), best], best // MAX_BINS, best % MAX_BINS
+
+
+def _leaf_values(node, residual, size, quantile):
+    """Mean, or lower quantile, of the residuals in each node."""
+    if quantile is None:
+        n = np.bincount(node, minlength=size)
+        return np.bincount(node, residual, minlength=size) / np.maximum(n, 1)
+    order = np.lexsort((residual, node))
+    ends = np.cumsum(np.bincount(node, minlength=size))
+    starts = np.concatenate([[0], ends[:-1]])
+    rank = np.clip(np.ceil(quantile * (ends - starts)).astype(np.int64) - 1, 0, None)
+    held = np.append(residual[order], 0.0)
+    return np.where(ends > starts, held[np.minimum(starts + rank, len(residual))], 0.0)
+
+
+def grow(matrix, target, quantile=None, rounds=K.BOOSTING["rounds"], depth=K.BOOSTING["depth"],
+         rate=K.BOOSTING["rate"], min_leaf=K.BOOSTING["min_leaf"]):
+    """Boosted trees on a matrix: squared error, or pinball loss of one quantile.
+
+    A round fits a tree to the loss gradient and sets each leaf to the mean, or the quantile,
+    of its residuals.
+    """
+    edges = _edges(matrix)
+    offset = np.arange(matrix.shape[1]) * MAX_BINS
+    codes = np.column_stack([np.searchsorted(e, c, "left") for e, c in zip(edges, matrix.T)]) + offset
+    cuts = np.full((matrix.shape[1], MAX_BINS), np.inf)
+    for i, e in enumerate(edges):
+        cuts[i, :len(e)] = e
+    nodes = 2 ** (depth + 1) - 1
+    feature = np.full((rounds, nodes), -1, dtype=np.int32)
+    threshold, value = np.zeros((rounds, nodes)), np.zeros((rounds, nodes))
+    start = target.mean() if quantile is None else np.quantile(target, quantile, method="inverted_cdf")
+    estimate = np.full(len(target), float(start))
+    for tree in range(rounds):
+        residual = target - estimate
+        gradient = residual if quantile is None else quantile - (residual < 0)
+        node, growing = np.zeros(len(target), dtype=np.int64), np.ones(len(target), dtype=bool)
+        for level in range(depth):
+            first, width = 2**level - 1, 2**level
+            gain, chosen, bins = _best_splits(
+                codes[growing], node[growing] - first, width, gradient[growing], min_leaf
+            )
+            split = gain > 1e-12
+            if not split.any():
+                break
+            feature[tree, first:first + width][split] = chosen[split]
+            threshold[tree, first:first + width][split] = cuts[chosen[split], bins[split]]
+            growing &= feature[tree, node] >= 0
+            own = node[growing]
+            below = matrix[growing, feature[tree, own]] <= threshold[tree, own]
+            node[growing] = 2 * own + 2 - below
+        value[tree] = _leaf_values(node, residual, nodes, quantile)
+        estimate += rate * value[tree, node]
+    return Trees(float(start), rate, feature, threshold, value)
 
 
-def _with_leaf(frame, tree):
-    marked = tree.copy({tree.leafCol: "_leaf_raw", tree.predictionCol: "_tree"})
-    out = marked.transform(frame)
-    return out.withColumn("_leaf", F.col("_leaf_raw").cast("int")).drop("_leaf_raw", "_tree")
+def _feature_array(frame, features):
+    """The features as one array; what the frame lacks, and nulls, count as 0."""
+    return F.array(*[
+        F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if c in frame.columns else F.lit(0.0) for c in features
+    ])
 
 
-def _leaf_value(values):
-    pairs = [F.lit(x) for leaf, value in values.items() for x in (int(leaf), float(value))]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("_leaf")), F.lit(0.0))
+def _matrix(column, width):
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
 
 
-def fit_quantile(vectors, quantile, rounds=K.BOOSTING["rounds"], depth=K.BOOSTING["depth"],
-                 rate=K.BOOSTING["rate"], min_leaf=K.BOOSTING["min_leaf"]):
-    """Boosting for one quantile.
+def fit_trees(frame, features, keys, heads, fit_rows=FIT_ROWS, **settings):
+    """{key values: {head: (Trees, rows)}} for every key in `frame` and every head.
 
-    Each round fits a tree to the pinball-loss gradient and sets every leaf to the
-    residual quantile of its rows. Leaf quantiles come from a bounded sketch with
-    map-side merging (at most 2^depth leaves), so no leaf's rows gather in a task.
-    The running estimate is written to the shared folder every few rounds, which
-    keeps the plan short and lets lost tasks restart from there.
+    `heads` maps a head's name to its quantile, None for the mean. The dictionary holds
+    rounds x nodes numbers per model and nothing that grows with the rows.
     """
-    start = vectors.agg(F.percentile_approx("target", quantile, 10000)).first()[0]
-    state = vectors.select("features", "target").withColumn("estimate", F.lit(float(start)))
-    state = cut_lineage(state)
-    trees, leaves = [], []
-    grower = DecisionTreeRegressor(
-        featuresCol="features", labelCol="gradient", maxDepth=depth,
-        minInstancesPerNode=min_leaf, maxBins=MAX_BINS, seed=K.BOOSTING["seed"],
-    )
-    for step in range(1, rounds + 1):
-        below = (F.col("target") < F.col("estimate")).cast("double")
-        tree = grower.fit(state.withColumn("gradient", F.lit(quantile) - below))
-        residual = F.col("target") - F.col("estimate")
-        at_leaf = _with_leaf(state, tree)
-        values = {
-            r["_leaf"]: r["value"] for r in at_leaf.groupBy("_leaf")
-            .agg(F.percentile_approx(residual, quantile, 10000).alias("value")).collect()
+    keys, features = list(keys), list(features)
+    kinds = {k: frame.schema[k].dataType.simpleString() for k in keys}
+    rows = frame.select(*keys, "target", _feature_array(frame, features).alias("_x")).where("target is not null")
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if keys else rows.agg(F.count(F.lit(1)).alias("_n"))
+    counted = rows.join(counts, keys) if keys else rows.join(counts)
+    chosen = counted.where(F.pmod(F.xxhash64("target", "_x"), F.col("_n")) < fit_rows)
+    names = F.explode(F.array(*[F.lit(h) for h in heads])).alias("_head")
+    dealt = chosen.select(*keys, "target", "_x", "_n", names)
+    # head, start, ..., value stand for one model each
+    kind = ", ".join([*[f"{k} {t}" for k, t in kinds.items()], TREES])
+    empty = frame.sparkSession.createDataFrame([], kind).schema
+
+    def fit(group):
+        x = _matrix(group.column("_x"), len(features))
+        y = group.column("target").to_numpy()
+        order = np.lexsort((*x.T, y))  # the same sums however the rows arrived
+        head = group.column("_head")[0].as_py()
+        trees = grow(np.ascontiguousarray(x[order]), y[order].astype(float), heads[head], **settings)
+        row = {
+            **{k: group.column(k)[0].as_py() for k in keys}, "head": head, "start": trees.start,
+            "rate": trees.rate, "rounds": len(trees.feature), "training_rows": group.column("_n")[0].as_py(),
+            "feature": trees.feature.ravel().tolist(), "threshold": trees.threshold.ravel().tolist(),
+            "value": trees.value.ravel().tolist(),
         }
-        trees.append(tree)
-        leaves.append(values)
-        state = at_leaf.withColumn(
-            "estimate", F.col("estimate") + rate * _leaf_value(values)
-        ).drop("_leaf")
-        if step % CHECKPOINT_EVERY == 0:
-            state = cut_lineage(state)
-    return QuantileBooster(quantile, rate, float(start), trees, leaves)
+        return pa.table({n: pa.array([row[n]], arrow_types[n]) for n in arrow_types})
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow_types = {f.name: f.type for f in to_arrow_schema(empty)}
+    found = {}
+    for r in dealt.groupBy(*keys, "_head").applyInArrow(fit, kind).collect():
+        found.setdefault(tuple(r[k] for k in keys), {})[r["head"]] = (_trees(r), r["training_rows"])
+    return found
+
+
+def _trees(row):
+    def shaped(name, kind):
+        return np.array(row[name], dtype=kind).reshape(row["rounds"], -1)
+
+    return Trees(row["start"], row["rate"], shaped("feature", np.int32), shaped("threshold", float), shaped("value", float))
 
 
 @dataclass
@@ -133,60 +194,126 @@ class BoostedForecaster:
     """Point model with two quantile heads, or with residual quantiles as offsets."""
 
     features: tuple
-    point: GBTRegressionModel
-    lower: QuantileBooster | None = None
-    upper: QuantileBooster | None = None
+    point: Trees
+    lower: Trees | None = None
+    upper: Trees | None = None
     offsets: tuple = (0.0, 0.0)
+    training_rows: int = 0
 
-    def predict(self, frame):
-        """Adds point, lower and upper; interval ends never cross the point."""
-        scored = self.point.transform(assembled(frame, self.features))
+    def estimates(self, matrix):
+        """point, lower and upper of every row; interval ends never cross the point."""
+        point = self.point.score(matrix)
         if self.lower is None:
-            low, high = (F.col("point") + o for o in self.offsets)
+            low, high = (point + o for o in self.offsets)
         else:
-            scored = self.upper.score(self.lower.score(scored, "_low"), "_high")
-            low, high = F.col("_low"), F.col("_high")
-        lower, upper = S.bracket("point", low, high)
-        return scored.withColumns({"lower": lower, "upper": upper}).drop("features", "_low", "_high")
+            low, high = self.lower.score(matrix), self.upper.score(matrix)
+        return point, np.minimum(low, point), np.maximum(high, point)
+
+    def predict(self, frame):
+        """Adds point, lower and upper."""
+        return predict_by_key(frame, {(): self}, ())
 
     def save(self, spark, path):
-        self.point.write().overwrite().save(f"{path}/point")
-        for name, head in (("lower", self.lower), ("upper", self.upper)):
-            if head is not None:
-                head.save(spark, f"{path}/{name}")
-        row = [(list(self.features), *map(float, self.offsets), self.lower is not None)]
-        spark.createDataFrame(row, FORECASTER_TABLE).coalesce(1).write.mode("overwrite").parquet(
-            f"{path}/settings"
-        )
+        """Trees as a table with one row per head, next to the settings."""
+        heads = {POINT: self.point, "lower": self.lower, "upper": self.upper}
+        rows = [
+            (name, t.start, t.rate, len(t.feature), self.training_rows, t.feature.ravel().tolist(),
+             t.threshold.ravel().tolist(), t.value.ravel().tolist())
+            for name, t in heads.items() if t is not None
+        ]
+        spark.createDataFrame(rows, TREES).coalesce(1).write.mode("overwrite").parquet(f"{path}/trees")
+        row = [(list(self.features), *map(float, self.offsets))]
+        spark.createDataFrame(row, SETTINGS).coalesce(1).write.mode("overwrite").parquet(f"{path}/settings")
 
     @staticmethod
     def load(spark, path):
-        row = spark.read.parquet(f"{path}/settings").first()
-        heads = [
-            QuantileBooster.load(spark, f"{path}/{n}") if row["heads"] else None
-            for n in ("lower", "upper")
-        ]
-        point = GBTRegressionModel.load(f"{path}/point")
-        return BoostedForecaster(tuple(row["features"]), point, *heads,
-                                 offsets=(row["low"], row["high"]))
+        settings = spark.read.parquet(f"{path}/settings").first()
+        rows = {r["head"]: r for r in spark.read.parquet(f"{path}/trees").collect()}
+        heads = [_trees(rows[n]) if n in rows else None for n in (POINT, "lower", "upper")]
+        return BoostedForecaster(
+            tuple(settings["features"]), *heads, offsets=(settings["low"], settings["high"]),
+            training_rows=rows[POINT]["training_rows"],
+        )
 
 
-def train_boosted(frame, features, interval="quantile", **settings):
-    """Point model plus interval from quantile heads or from residual quantiles.
+@dataclass
+class LinearForecaster:
+    """A ridge model with the same interface: the interval is z deviations of its residuals."""
+
+    features: tuple
+    intercept: float
+    coefficients: np.ndarray
+    residual_std: float
+    training_rows: int = 0
 
-    `frame` holds the feature columns and `target`.
+    def estimates(self, matrix):
+        point = self.intercept + matrix @ self.coefficients
+        half = K.RESIDUAL_Z * self.residual_std
+        return point, point - half, point + half
+
+
+def predict_by_key(frame, forecasters, keys):
+    """Adds point, lower and upper, each row by the forecaster of its key values.
+
+    `forecasters` maps tuples of key values to forecasters; rows of other keys get nulls.
+    """
+    keys = list(keys)
+    added = (POINT, "lower", "upper")
+    kept = [c for c in frame.columns if c not in added]
+    names = sorted({c for f in forecasters.values() for c in f.features})
+    columns = {k: [names.index(c) for c in f.features] for k, f in forecasters.items()}
+    asked = frame.select(*kept, _feature_array(frame, names).alias("_x"))
+
+    def score(batches):
+        for batch in batches:
+            x = _matrix(batch.column("_x"), len(names)) if names else np.zeros((batch.num_rows, 0))
+            owner = list(zip(*(batch.column(k).to_pylist() for k in keys))) if keys else [()] * batch.num_rows
+            rows_of = {}
+            for i, key in enumerate(owner):
+                rows_of.setdefault(key, []).append(i)
+            out = np.full((3, batch.num_rows), np.nan)
+            for key, rows in rows_of.items():
+                if key in forecasters:
+                    out[:, rows] = forecasters[key].estimates(x[np.ix_(rows, columns[key])])
+            rest = batch.drop_columns(["_x"])
+            made = [pa.array(o, pa.float64(), mask=np.isnan(o)) for o in out]
+            yield pa.RecordBatch.from_arrays([*rest.columns, *made], names=[*rest.schema.names, *added])
+
+    schema = frame.select(*kept).schema
+    for name in added:
+        schema = schema.add(name, "double")
+    return asked.mapInArrow(score, schema)
+
+
+def fit_forecasters(frame, features, keys=(), interval="quantile", **settings):
+    """{key values: BoostedForecaster}: point models with the kind of interval asked for.
+
+    `interval` is "quantile" (two heads), "residual" (quantiles of the residuals as offsets)
+    or "none". All models of all keys grow in one job. `frame` holds the keys, the features and `target`.
     """
-    vectors = assembled(frame, features).select("features", "target").persist()
-    try:
-        point = fit_mean(vectors, **settings)
-        if interval == "quantile":
-            heads = [fit_quantile(vectors, q, **settings) for q in K.QUANTILES]
-            return BoostedForecaster(tuple(features), point, *heads)
-        residual = F.col("target") - F.col("point")
-        offsets = point.transform(vectors).agg(
-            F.percentile_approx(residual, list(K.QUANTILES), 10000)
-        ).first()[0]
-        return BoostedForecaster(tuple(features), point, offsets=tuple(offsets))
-    finally:
-        vectors.unpersist()
+    keys = list(keys)
+    heads = {POINT: None}
+    if interval == "quantile":
+        heads |= dict(zip(("lower", "upper"), K.QUANTILES))
+    found = fit_trees(frame, features, keys, heads, **settings)
+    made = {
+        key: BoostedForecaster(
+            tuple(features), trees[POINT][0], *(trees[h][0] if h in trees else None for h in ("lower", "upper")),
+            training_rows=trees[POINT][1],
+        )
+        for key, trees in found.items()
+    }
+    if interval == "residual" and made:
+        residual = F.col("target") - F.col(POINT)
+        quantiles = F.percentile_approx(residual, list(K.QUANTILES), 10000).alias("q")
+        scored = predict_by_key(frame, made, keys)
+        for row in (scored.groupBy(*keys).agg(quantiles) if keys else scored.agg(quantiles)).collect():
+            key = tuple(row[k] for k in keys)
+            if key in made:
+                made[key].offsets = tuple(row["q"])
+    return made
+
 
+def train_boosted(frame, features, interval="quantile", **settings):
+    """One forecaster on all rows of `frame`."""
+    return fit_forecasters(frame, features, (), interval, **settings)[()]

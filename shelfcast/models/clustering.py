@@ -27,6 +27,12 @@ class ClusterModel:
         self.scaler.write().overwrite().save(f"{path}/scaler")
         self.kmeans.write().overwrite().save(f"{path}/kmeans")
 
+    @staticmethod
+    def load(spark, path):
+        """The saved model; the silhouette is in its card and not known here."""
+        kmeans = KMeansModel.load(f"{path}/kmeans")
+        return ClusterModel(StandardScalerModel.load(f"{path}/scaler"), kmeans, len(kmeans.clusterCenters()), float("nan"))
+
 
 def _vectors(features):
     return VectorAssembler(inputCols=list(K.CLUSTER_FEATURES), outputCol="raw").transform(features)

@@ -95,22 +95,11 @@ def ridge_fold_metrics(features, names=K.FEATURES, alpha=K.RIDGE_ALPHA):
 
 
 def boosted_fold_metrics(features, names=K.FEATURES, **settings):
-    """The same for boosted trees: one distributed fit per category and fold.
-
-    `features` is best a written frame, as every fit reads its part of it. The loop is over the model list (categories x folds), never over data.
-    """
-    scored = None
-    for row in features.select(*FOLD).distinct().orderBy(*FOLD).collect():
-        part = features.filter((F.col("category") == row["category"]) & (F.col("fold") == row["fold"]))
-        vectors = boosting.assembled(part, names)
-        train = vectors.filter(F.col("role") == "train").select("features", "target").persist()
-        point = boosting.fit_mean(train, **settings)
-        train.unpersist()
-        test = point.transform(vectors.filter(F.col("role") == "test")).select(
-            *FOLD, "target", "point"
-        )
-        scored = test if scored is None else scored.unionByName(test)
-    return evaluate(scored, "target", "point", *FOLD)
+    """The same for boosted trees: one job grows the models of all categories and folds."""
+    train = features.filter(F.col("role") == "train")
+    test = features.filter(F.col("role") == "test")
+    models = boosting.fit_forecasters(train, names, FOLD, interval="none", **settings)
+    return evaluate(boosting.predict_by_key(test, models, FOLD), "target", "point", *FOLD)
 
 
 def walk_forward(weekly, kind="gbr", boosting_settings=None, **fold_settings):

@@ -180,17 +180,25 @@ def compare_on_folds(panel, boosting_settings, fold_settings):
     )
 
 
-def _save(catalog, category, winner, train, linear, features, interval, boosting_settings, **card):
+def _save(catalog, category, winner, linear, forecasters, features, **card):
     name = S.model_name_text(category)
-    own = train.filter(F.col("category") == category)
     if winner == "ridge":
         model = linear.filter(F.col("category") == category)
         return catalog.save_ridge(model, name, features=features, category=category, **card)
-    forecaster = boosting.train_boosted(own, features, interval, **boosting_settings)
-    if card.get("metrics") is None:
-        scored = metrics.evaluate(forecaster.predict(own), "target", "point").first()
-        card["metrics"] = {m: scored[m] for m in folds.METRICS}
-    return catalog.save_boosted(forecaster, name, features=features, category=category, **card)
+    return catalog.save_boosted(forecasters[(category,)], name, features=features, category=category, **card)
+
+
+def _boosted_of(train, categories, features, interval, settings):
+    """Boosted forecasters of the given categories, grown in one job."""
+    own = train.filter(F.col("category").isin(list(categories)))
+    return boosting.fit_forecasters(own, features, ("category",), interval, **settings) if categories else {}
+
+
+def _in_sample(train, forecasters):
+    """{category: metrics} of forecasters on their own training rows, in one pass."""
+    known = train.filter(F.col("category").isin([c for c, in forecasters]))
+    scored = boosting.predict_by_key(known, forecasters, ("category",))
+    return _per_category(metrics.evaluate(scored, "target", "point", "category"))
 
 
 def retrain(spark, weekly, catalog, lineage_table, as_of, dry_run=False, expected=K.GATE,
@@ -225,6 +233,10 @@ def retrain(spark, weekly, catalog, lineage_table, as_of, dry_run=False, expecte
     )
     rows = _per_category(cut_lineage(decided))
     known = cat.baselines_by_category(baselines)
+    wanted = [] if dry_run else [
+        c for c, r in rows.items() if r["winner"] == "gbr" and r["decision"] != "rejected"
+    ]
+    forecasters = _boosted_of(train, wanted, names, interval, boosting_settings)
     run_id, versions = uuid.uuid4().hex[:16], {}
     for category, row in rows.items():
         name = S.model_name_text(category)
@@ -234,8 +246,8 @@ def retrain(spark, weekly, catalog, lineage_table, as_of, dry_run=False, expecte
             versions[category] = f"{name}_vPENDING"
         else:
             version = _save(
-                catalog, category, row["winner"], train, linear, names, interval,
-                boosting_settings, metrics={m: row[m] for m in folds.METRICS},
+                catalog, category, row["winner"], linear, forecasters, names,
+                metrics={m: row[m] for m in folds.METRICS},
                 training_rows=row["training_rows"], baselines=known[category],
                 metric_kind="walk_forward",
             )
@@ -280,18 +292,15 @@ def train_per_category(weekly, catalog, interval="quantile", **boosting_settings
         build_training_features(weekly.dropna(subset=["category"]), carry=("category",))
     )
     names = [c for c in K.FEATURES if c in train.columns]
-    saved = {}
-    for row in train.groupBy("category").count().orderBy("category").collect():
-        category, rows = row["category"], row["count"]
-        own = train.filter(F.col("category") == category)
-        forecaster = boosting.train_boosted(own, names, interval, **boosting_settings)
-        scored = metrics.evaluate(forecaster.predict(own), "target", "point").first().asDict()
+    saved = boosting.fit_forecasters(train, names, ("category",), interval, **boosting_settings)
+    scored = _in_sample(train, saved)
+    for (category,), forecaster in sorted(saved.items()):
         catalog.save_boosted(
             forecaster, S.model_name_text(category), features=names, category=category,
-            training_rows=rows, metrics={m: scored[m] for m in folds.METRICS},
+            training_rows=forecaster.training_rows,
+            metrics={m: scored[category][m] for m in folds.METRICS},
         )
-        saved[category] = forecaster
-    return saved
+    return {category: forecaster for (category,), forecaster in saved.items()}
 
 
 def train_all(weekly, catalog, starts=K.KMEANS_STARTS, interval="quantile",
@@ -308,10 +317,14 @@ def train_all(weekly, catalog, starts=K.KMEANS_STARTS, interval="quantile",
         ridge.predict_ridge(train, linear, ("category",), names), "target", "point", "category"
     ))
     sizes = {r["category"]: r["count"] for r in panel.groupBy("category").count().collect()}
-    for category, row in _per_category(compared).items():
-        own = {m: in_sample[category][m] for m in folds.METRICS}
-        _save(catalog, category, row["winner"], train, linear, names, interval,
-              boosting_settings, metrics=own if row["winner"] == "ridge" else None,
+    rows = _per_category(compared)
+    wanted = [c for c, r in rows.items() if r["winner"] == "gbr"]
+    forecasters = _boosted_of(train, wanted, names, interval, boosting_settings)
+    if forecasters:
+        in_sample |= _in_sample(train, forecasters)
+    for category, row in rows.items():
+        _save(catalog, category, row["winner"], linear, forecasters, names,
+              metrics={m: in_sample[category][m] for m in folds.METRICS},
               training_rows=sizes[category])
     features = behaviour.sku_features(panel)
     clusters = fit_clustering(features, starts)
@@ -350,22 +363,44 @@ def batch_history(batch, weekly_features):
 def score_batch(batch, weekly_features, model, weeks=K.HORIZON_DEFAULT):
     """Forecasts for every series of a batch; categories without a model drop out.
 
-    `model` is the ridge table (one row per category); its join is inner.
+    `model` is a ridge table (one row per category) or the forecasters of a catalog, as
+    `ModelCatalog.forecasters` gives them.
     """
     history = batch_history(batch, weekly_features)
+    if isinstance(model, dict):
+        modelled = history.filter(F.col("category").isin(list(model)))
+        served = {(c,): f for c, (f, _) in model.items()}
+
+        def predict(frame):
+            return boosting.predict_by_key(frame, served, ("category",))
+
+        return predict_horizon(modelled, predict, weeks)
     modelled = history.join(model.select("category"), "category", "left_semi")
     return predict_horizon(modelled, linear_predictor(model), weeks)
 
 
 def run_batch(spark, root, path, weekly_features, model, weeks=K.HORIZON_DEFAULT, batch_id=None):
-    """Reads a batch file, forecasts it and stores the predictions; returns the batch id."""
+    """Reads a batch file, forecasts it and stores the predictions; returns the batch id.
+
+    `model` is as in score_batch; predictions carry the version of the model that made them.
+    """
     stamp = datetime.now(timezone.utc).strftime("%Y%m%d-%H%M%S")
     batch_id = batch_id or f"batch-{stamp}-{uuid.uuid4().hex[:6]}"
     forecast = score_batch(read_batch_parquet(spark, path), weekly_features, model, weeks)
+    if isinstance(model, dict):
+        pairs = [x for c, (_, version) in model.items() for x in (F.lit(c), F.lit(version))]
+        version = F.create_map(*pairs)[F.col("category")] if pairs else F.lit(None).cast("string")
+    else:
+        version = F.concat(F.lit("ridge_"), F.col("category"))
     loads.insert_batch_predictions(spark, root, forecast.select(
         F.lit(batch_id).alias("batch_id"), "sku", "week", "channel", "region",
         F.col("point").alias("predicted_units"), F.col("lower").alias("confidence_lower"),
-        F.col("upper").alias("confidence_upper"),
-        F.concat(F.lit("ridge_"), F.col("category")).alias("model_version"),
+        F.col("upper").alias("confidence_upper"), version.alias("model_version"),
     ))
     return batch_id
+
+
+def run_batch_from_catalog(spark, root, path, weekly_features, catalog, weeks=K.HORIZON_DEFAULT,
+                           batch_id=None):
+    """The same with the newest model of each category; categories without one drop out."""
+    return run_batch(spark, root, path, weekly_features, catalog.forecasters(), weeks, batch_id)

@@ -1,11 +1,12 @@
 """Features, models, forecasts and the jobs built from them."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from shelfcast import constants as K
 from shelfcast.functions import scalars as S
 from shelfcast.models import boosting, folds, horizon, ridge, selection
-from shelfcast.models.clustering import fit_clustering
+from shelfcast.models.clustering import _vectors, fit_clustering
 from shelfcast.operators import behaviour, features, metrics
 from shelfcast.operators.projection import seasonal_projection
 from shelfcast.operators.windows import recent_history
@@ -14,14 +15,11 @@ from shelfcast.queries.checks import LIVE_SQL
 from shelfcast.queries.registry import query
 from shelfcast.queries.rows import ENCODED_SQL
 from shelfcast.queries.sales import SEASON_FACTOR_SQL
-from shelfcast.session import scratch_path
+from shelfcast.session import cut_lineage, scratch_path
 from shelfcast.sources import loads
 from shelfcast.sources.catalog import ModelCatalog
 from shelfcast.sources.star_tables import LOG_AS_OF
 
-# Boosting settings of the registered queries: few rounds, all rows.
-FEW_ROUNDS = {"rounds": 3, "depth": 3}
-ONE_FOLD = {"splits": 1}
 EXPECTED = {**K.GATE, "skus": 25}
 FEATURE_DOUBLES = " ".join(
     c for c in K.FEATURES if c not in ("lifecycle_encoded", "channel_encoded", "region_encoded",
@@ -122,29 +120,73 @@ def k6(t):
     )
 
 
+@query("k6_ridge_normal_equations", """
+    SELECT category, COUNT(*) AS training_rows, 0.0 AS largest_residual FROM weekly_cat
+    WHERE target_next_week IS NOT NULL GROUP BY category
+""", "largest_residual", digits=6)
+def k6_normal(t):
+    """Relative size of X'(y - Xb) - alpha b, the largest of all features and the intercept."""
+    train, model = full_ridge(t)
+    left = ridge.predict_ridge(train, model, ("category",), K.FEATURES).withColumn(
+        "_r", F.col("target") - F.col("point")
+    )
+    sums = [F.sum(F.col(c) * F.col("_r")).alias(f"_s{i}") for i, c in enumerate(K.FEATURES)]
+    sizes = [F.sum(F.abs(F.col(c) * F.col("_r"))).alias(f"_a{i}") for i, c in enumerate(K.FEATURES)]
+    per = left.groupBy("category").agg(
+        F.count("*").alias("training_rows"), *sums, *sizes,
+        (F.abs(F.sum("_r")) / (F.sum(F.abs("_r")) + 1)).alias("_s"),
+    ).join(model.select("category", "coefficients"), "category")
+    worst = F.greatest("_s", *[
+        F.abs(F.col(f"_s{i}") - K.RIDGE_ALPHA * F.get("coefficients", F.lit(i))) / (F.col(f"_a{i}") + 1)
+        for i in range(len(K.FEATURES))
+    ])
+    return per.select("category", "training_rows", worst.alias("largest_residual"))
+
+
 # --- boosted trees --------------------------------------------------------
-@query("k4_boosted_trees")
+CATEGORY_ROWS = """
+    SELECT category, COUNT(*) AS training_rows{more} FROM weekly_cat
+    WHERE target_next_week IS NOT NULL GROUP BY category"""
+
+
+def training_rows(t):
+    return cut_lineage(features.build_training_features(t.weekly_categorised, carry=("category",)))
+
+
+@query("k4_boosted_trees", CATEGORY_ROWS.format(more=", TRUE AS beats_mean, 200 AS trees"))
 def k4(t):
-    train = features.build_training_features(t.weekly_categorised, carry=("category",))
-    vectors = boosting.assembled(train, K.FEATURES).select("category", "features", "target")
-    model = boosting.fit_mean(vectors, **FEW_ROUNDS)
-    return metrics.evaluate(model.transform(vectors), "target", "point", "category")
+    train = training_rows(t)
+    models = boosting.fit_forecasters(train, K.FEATURES, ("category",), interval="none")
+    scored = boosting.predict_by_key(train, models, ("category",))
+    left = F.sum(F.pow(F.col("target") - F.col("point"), 2))
+    trees = F.lit(min(len(m.point.feature) for m in models.values()))
+    return scored.groupBy("category").agg(
+        F.count("*").alias("training_rows"),
+        (left < F.var_pop("target") * F.count("*")).alias("beats_mean"), trees.alias("trees"),
+    )
 
 
-@query("k5_quantile_heads")
+@query("k5_quantile_heads", CATEGORY_ROWS.format(more=", TRUE AS bracketed, TRUE AS covered"))
 def k5(t):
-    train = features.build_training_features(t.weekly_categorised, carry=("category",))
-    forecaster = boosting.train_boosted(train, K.FEATURES, **FEW_ROUNDS)
-    scored = forecaster.predict(train)
+    train = training_rows(t)
+    models = boosting.fit_forecasters(train, K.FEATURES, ("category",))
+    scored = boosting.predict_by_key(train, models, ("category",))
     inside = F.avg(F.col("target").between(F.col("lower"), F.col("upper")).cast("double"))
-    return scored.groupBy("category").agg(F.count("*").alias("rows"), inside.alias("coverage"))
+    return scored.groupBy("category").agg(
+        F.count("*").alias("training_rows"),
+        F.bool_and((F.col("lower") <= F.col("point")) & (F.col("point") <= F.col("upper"))).alias("bracketed"),
+        inside.between(0.7, 0.95).alias("covered"),
+    )
 
 
-@query("k7_models_per_category")
+@query("k7_models_per_category", """
+    SELECT 'forecaster_' || replace(lower(category), ' ', '_') AS name, 1 AS version, 'gbr' AS kind,
+      category, COUNT(*) AS training_rows
+    FROM weekly_cat WHERE target_next_week IS NOT NULL GROUP BY category
+""")
 def k7(t):
     catalog = ModelCatalog(t.spark, scratch_path(t.spark, "catalog"))
-    jobs.train_per_category(t.weekly_categorised, catalog, interval="residual",
-                            rounds=2, depth=3)
+    jobs.train_per_category(t.weekly_categorised, catalog)
     return catalog.list_models().select("name", "version", "kind", "category", "training_rows")
 
 
@@ -281,14 +323,55 @@ def k12(t):
 
 
 # --- evaluation and choice ------------------------------------------------
+FOLD_SQL = """
+    weeks AS (SELECT category, week, row_number() OVER (PARTITION BY category ORDER BY week) AS p,
+        COUNT(*) OVER (PARTITION BY category) AS available
+      FROM (SELECT DISTINCT category, week FROM weekly_cat)),
+    folds AS (SELECT category, fold, MAX(week) FILTER (p = 100 + 4 * (fold - 1)) AS cut,
+        MAX(week) FILTER (p = 101 + 4 * (fold - 1)) AS first,
+        MAX(week) FILTER (p = 104 + 4 * (fold - 1)) AS last
+      FROM weeks, (SELECT unnest([1, 2, 3, 4, 5]) AS fold)
+      WHERE 104 + 4 * (fold - 1) <= available GROUP BY 1, 2),
+    test AS (SELECT w.*, fold FROM weekly_cat w JOIN folds f
+        ON f.category = w.category AND week BETWEEN first AND last WHERE target_next_week IS NOT NULL)"""
+
+
 @query("k14_ridge_fold_metrics")
 def k14(t):
     return folds.walk_forward(t.weekly_categorised, "ridge")
 
 
-@query("k14_boosted_fold_metrics")
+@query("k14_ridge_two_feature_folds", f"""
+    WITH {FOLD_SQL},
+    m AS (SELECT w.category, fold, AVG(lag_1) AS ma, AVG(stock_available) AS mb,
+        AVG(target_next_week) AS my, var_pop(lag_1) * COUNT(*) + 1 AS aa,
+        var_pop(stock_available) * COUNT(*) + 1 AS bb,
+        covar_pop(lag_1, stock_available) * COUNT(*) AS ab,
+        covar_pop(lag_1, target_next_week) * COUNT(*) AS ay,
+        covar_pop(stock_available, target_next_week) * COUNT(*) AS by_
+      FROM weekly_cat w JOIN folds f ON f.category = w.category AND week <= cut
+      WHERE target_next_week IS NOT NULL GROUP BY 1, 2),
+    b AS (SELECT *, (ay * bb - by_ * ab) / (aa * bb - ab * ab) AS b1,
+        (by_ * aa - ay * ab) / (aa * bb - ab * ab) AS b2 FROM m),
+    e AS (SELECT category, fold, target_next_week AS y,
+        my + b1 * (lag_1 - ma) + b2 * (stock_available - mb) - target_next_week AS err
+      FROM test JOIN b USING (category, fold))
+    SELECT category, fold, AVG(abs(err) / greatest(abs(y), 1e-9)) * 100 AS mape,
+      sqrt(AVG(err * err)) AS rmse, AVG(abs(err)) AS mae FROM e GROUP BY 1, 2
+""", "mape rmse mae")
+def k14_two(t):
+    rows = cut_lineage(folds.fold_features(t.weekly_categorised))
+    return folds.ridge_fold_metrics(rows, TWO).select("category", "fold", "mape", "rmse", "mae")
+
+
+@query("k14_boosted_fold_metrics", f"""
+    WITH {FOLD_SQL}
+    SELECT category, fold, TRUE AS sane FROM test GROUP BY 1, 2
+""")
 def k14_boosted(t):
-    return folds.walk_forward(t.weekly_categorised, "gbr", {"rounds": 2, "depth": 3}, **ONE_FOLD)
+    """All folds of all categories at the full settings; errors finite and in their order."""
+    sane = (F.col("mae") > 0) & (F.col("mae") <= F.col("rmse")) & (F.col("mape") > 0) & (F.col("r2") <= 1)
+    return folds.walk_forward(t.weekly_categorised, "gbr").select("category", "fold", sane.alias("sane"))
 
 
 def _mape(column):
@@ -338,30 +421,100 @@ def k17(t):
 
 
 # --- jobs -----------------------------------------------------------------
-@query("k18_retraining_job")
+@query("k18_retraining_job", """
+    SELECT category, 'forecaster_' || replace(lower(category), ' ', '_') || '_v1' AS model_version,
+      CAST(COUNT(*) AS INT) AS training_rows, 'no_incumbent' AS promotion_decision, '[]' AS drift_warnings
+    FROM weekly_cat WHERE target_next_week IS NOT NULL GROUP BY category
+""")
 def k18(t):
     root = scratch_path(t.spark, "retrain")
     catalog = ModelCatalog(t.spark, f"{root}/models")
     lineage = loads.open_table(t.spark, root, "model_lineage")
-    jobs.retrain(t.spark, t.weekly_categorised, catalog, lineage, "2001-11-20",
-                 expected={**EXPECTED, "missing_rate": 0.05}, interval="residual",
-                 boosting_settings={"rounds": 2, "depth": 3}, fold_settings=ONE_FOLD)
+    jobs.retrain(t.spark, t.weekly_categorised, catalog, lineage, "2001-11-20", expected=EXPECTED)
     return lineage.read().select("category", "model_version", "training_rows",
                                  "promotion_decision", "drift_warnings")
 
 
-@query("k19_train_all_job")
+@query("k19_train_all_job", """
+    SELECT category, COUNT(*) AS train_rows, TRUE AS chosen_by_rule FROM weekly_cat GROUP BY category
+""")
 def k19(t):
     catalog = ModelCatalog(t.spark, scratch_path(t.spark, "train"))
-    return jobs.train_all(t.weekly_categorised, catalog, starts=1, interval="residual",
-                          boosting_settings={"rounds": 2, "depth": 3}, fold_settings=ONE_FOLD)
+    summary = jobs.train_all(t.weekly_categorised, catalog)
+    saved = catalog.cards().select("category", F.col("kind").alias("saved"))
+    won = F.when(F.col("winner") == "gbr", F.col("rationale").contains("retained")).otherwise(
+        F.col("rationale").contains("Ridge baseline wins")
+    )
+    return summary.join(saved, "category").select(
+        "category", "train_rows", ((F.col("winner") == F.col("saved")) & won).alias("chosen_by_rule")
+    )
 
 
-@query("k20_kmeans_clusters")
+@query("k20_kmeans_clusters", """
+    SELECT DISTINCT sku, TRUE AS nearest, TRUE AS k_in_range FROM weekly
+""")
 def k20(t):
+    """Whether every SKU sits at its nearest centre; ten starts for each k."""
+    sku_features = behaviour.sku_features(t.weekly)
+    model = fit_clustering(sku_features)
+    centres = [[float(x) for x in c] for c in model.kmeans.clusterCenters()]
+    scaled = model.scaler.transform(_vectors(sku_features)).select("sku", vector_to_array("scaled").alias("x"))
+    gap = [
+        F.aggregate(F.zip_with("x", F.array(*map(F.lit, c)), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
+        for c in centres
+    ]
+    own = F.get(F.array(*gap), F.col("cluster"))
+    return scaled.join(model.labels(sku_features), "sku").select(
+        "sku", (own <= F.least(*gap) + 1e-9).alias("nearest"), F.lit(3 <= model.k <= 6).alias("k_in_range")
+    )
+
+
+def trained_catalog(t, root):
+    """A catalog with a ridge model for each category and a newer boosted one for two of them."""
+    catalog = ModelCatalog(t.spark, f"{root}/models")
+    train = training_rows(t)
+    linear = cut_lineage(ridge.fit_ridge(train, ("category",), K.FEATURES))
+    two = train.filter("category in ('Milk', 'Juice')")
+    boosted = boosting.fit_forecasters(two, K.FEATURES, ("category",))
+    for row in linear.select("category").collect():
+        name = S.model_name_text(row["category"])
+        own = linear.filter(F.col("category") == row["category"])
+        catalog.save_ridge(own, name, metrics={}, features=K.FEATURES, category=row["category"])
+        if (row["category"],) in boosted:
+            catalog.save_boosted(boosted[(row["category"],)], name, metrics={}, features=K.FEATURES,
+                                 category=row["category"])
+    return catalog
+
+
+@query("k12_batch_job_from_catalog", BATCH_SQL + """
+    SELECT 'batch-2' AS batch_id, sku, week, channel, region, 'forecaster_' || replace(lower(category), ' ', '_')
+      || CASE WHEN category IN ('Milk', 'Juice') THEN '_v2' ELSE '_v1' END AS model_version,
+      TRUE AS bracketed
+    FROM steps WHERE step > 0
+""")
+def k12_catalog(t):
+    """Every category by its newest model: two boosted ones, ridge for the rest."""
+    root = scratch_path(t.spark, "batch")
+    t.daily.write.parquet(f"{root}/input")
+    jobs.run_batch_from_catalog(t.spark, root, f"{root}/input", t.weekly, trained_catalog(t, root), 4, "batch-2")
+    inside = F.col("predicted_units").between(F.col("confidence_lower"), F.col("confidence_upper"))
+    return loads.open_table(t.spark, root, "batch_predictions").read().select(
+        "batch_id", "sku", "week", "channel", "region", "model_version", inside.alias("bracketed")
+    )
+
+
+@query("k22_clusters_from_catalog", """
+    SELECT DISTINCT sku, TRUE AS same_cluster FROM weekly
+""")
+def k22_catalog(t):
+    """Labels of a stored and reloaded cluster model equal those of the fitted one."""
     sku_features = behaviour.sku_features(t.weekly)
-    model = fit_clustering(sku_features, starts=2)
-    return model.labels(sku_features).withColumn("k", F.lit(model.k))
+    catalog = ModelCatalog(t.spark, scratch_path(t.spark, "clusters"))
+    model = fit_clustering(sku_features, starts=1)
+    catalog.save_clusters(model, metrics={"silhouette": model.silhouette}, features=K.CLUSTER_FEATURES)
+    again = catalog.load(catalog.get("clusterer")).labels(sku_features)
+    labels = model.labels(sku_features).withColumnRenamed("cluster", "fitted")
+    return labels.join(again, "sku").select("sku", (F.col("cluster") == F.col("fitted")).alias("same_cluster"))
 
 
 @query("k23_live_scoring_job", f"""

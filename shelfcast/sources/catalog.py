@@ -3,11 +3,13 @@
 import re
 from datetime import datetime, timezone
 
+import numpy as np
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from shelfcast import constants as K
-from shelfcast.models.boosting import BoostedForecaster
+from shelfcast.models.boosting import BoostedForecaster, LinearForecaster
+from shelfcast.models.clustering import ClusterModel
 from shelfcast.schemas import MODEL_CARD
 
 
@@ -103,11 +105,32 @@ class ModelCatalog:
         return self.save(model.save, name, "clusters", **card)
 
     def load(self, card):
-        """The model behind a card."""
+        """The model behind a card: coefficient table, forecaster or clusters."""
         if card["kind"] == "ridge":
             return self.spark.read.parquet(card["path"])
+        if card["kind"] == "clusters":
+            return ClusterModel.load(self.spark, card["path"])
         return BoostedForecaster.load(self.spark, card["path"])
 
+    def forecasters(self):
+        """{category: (forecaster, version)} with the newest model of every category.
+
+        A handful of models, each of a size that does not depend on the rows it was fitted on.
+        """
+        cards = self.cards().filter("kind in ('ridge', 'gbr') and category is not null")
+        newest = cards.groupBy("category").agg(F.max_by(F.struct(*MODEL_CARD.names), F.struct("version", "created_at")).alias("card"))
+        found = {}
+        for card in newest.select("card.*").collect():
+            model = self.load(card)
+            if card["kind"] == "ridge":
+                row = model.first()
+                model = LinearForecaster(
+                    tuple(card["features"]), row["intercept"], np.array(row["coefficients"]),
+                    row["residual_std"], card["training_rows"],
+                )
+            found[card["category"]] = model, f"{card['name']}_v{card['version']}"
+        return found
+
 
 def baselines_by_category(long_baselines):
     """{category: {feature: (mean, std)}} from a long frame of a few dozen rows."""

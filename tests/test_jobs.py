@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from shelfcast import constants as K
+from shelfcast.functions import scalars as S
 from shelfcast.plans import jobs
 from shelfcast.session import scratch_path
 from shelfcast.sources import loads
@@ -56,3 +58,42 @@ def test_stale_categories_need_a_known_run(spark):
     assert jobs.stale_categories(none, "2024-03-01").count() == 0
     assert jobs.days_since_retrain(none, "2024-03-01").first()[0] is None
     assert jobs.days_since_retrain(frame, "2024-02-01").first()[0] == 0
+
+
+def test_retraining_rejects_promotes_and_reports_drift(spark, small):
+    """No incumbent, then a far better incumbent, then a worse one, and a dry run."""
+    panel = small.weekly_categorised.filter("category IN ('Milk', 'Juice')").persist()
+    root = scratch_path(spark, "retrain")
+    catalog = ModelCatalog(spark, f"{root}/models")
+    lineage = loads.open_table(spark, root, "model_lineage")
+    expected = {**K.GATE, "skus": 25, "missing_rate": 0.05}
+
+    def run(**more):
+        summary = jobs.retrain(spark, panel, catalog, lineage, AS_OF, expected=expected, interval="residual",
+                               boosting_settings={"rounds": 5}, **more)
+        return {r["category"]: r for r in summary.collect()}
+
+    def pretend(category, mape, mean):
+        name = S.model_name_text(category)
+        card = {"mape": mape, "rmse": 1.0, "mae": 1.0, "r2": 0.0}
+        catalog.save(lambda path: None, name, "ridge", card, ["lag_1"], category=category,
+                     baselines={"lag_1": (mean, 0.001)}, metric_kind="walk_forward")
+
+    dry = run(dry_run=True)
+    assert {r["model_version"] for r in dry.values()} == {"forecaster_milk_v[dry-run]", "forecaster_juice_v[dry-run]"}
+    assert lineage.read().count() == 0 and catalog.cards().count() == 0
+    first = run()
+    assert {r["decision"] for r in first.values()} == {"no_incumbent"} and catalog.cards().count() == 2
+    assert all(r["drift_count"] == 0 for r in first.values())
+    pretend("Milk", 0.001, -1000.0)
+    pretend("Juice", 1e9, -1000.0)
+    second = run()
+    assert (second["Milk"]["decision"], second["Juice"]["decision"]) == ("rejected", "promoted")
+    assert second["Milk"]["model_version"] == "forecaster_milk_vPENDING"
+    assert second["Juice"]["model_version"] == "forecaster_juice_v3"
+    assert second["Juice"]["incumbent_version"] == "forecaster_juice_v2"
+    assert all(r["drift_count"] > 0 and "lag_1" in r["drift_warnings"] for r in second.values())
+    assert lineage.read().count() == 4
+    kind = {r["category"]: r["kind"] for r in catalog.latest().collect()}
+    assert kind["Milk"] == "ridge" and catalog.get("forecaster_juice")["version"] == 3
+    panel.unpersist()

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from shelfcast import constants as K
 from shelfcast.models import boosting, folds, horizon, ridge
-from shelfcast.models.clustering import fit_clustering
+from shelfcast.models.clustering import ClusterModel, fit_clustering
 from shelfcast.operators import behaviour
 from shelfcast.operators.features import build_training_features
 from shelfcast.operators.windows import recent_history
@@ -61,9 +61,12 @@ def test_fold_features_use_their_slice_only(spark, small):
 
 def test_boosted_forecaster_brackets_and_reloads(spark, train):
     own = train.filter("category = 'Milk'")
-    model = boosting.train_boosted(own, K.FEATURES, rounds=2, depth=2)
+    model = boosting.train_boosted(own, K.FEATURES)
+    assert model.point.feature.shape == (200, 63)
     scored = model.predict(own)
     assert scored.filter("lower > point OR upper < point").count() == 0
+    share = scored.agg(F.avg(F.col("target").between(F.col("lower"), F.col("upper")).cast("int"))).first()[0]
+    assert 0.7 < share < 0.95
     path = scratch_path(spark, "boosted")
     model.save(spark, path)
     again = boosting.BoostedForecaster.load(spark, path).predict(own)
@@ -71,6 +74,39 @@ def test_boosted_forecaster_brackets_and_reloads(spark, train):
         assert abs(scored.agg(F.sum(c)).first()[0] - again.agg(F.sum(c)).first()[0]) < 1e-6
 
 
+def test_first_split_is_the_best_of_all(spark):
+    random = np.random.default_rng(4)
+    x = random.integers(0, 12, (400, 3)).astype(float)
+    y = (x[:, 1] > 6) * 5.0 + x[:, 0] / 10 + random.normal(size=400) / 10
+    trees = boosting.grow(x, y, rounds=1, depth=1, rate=1.0, min_leaf=20)
+    best = {}
+    for f in range(3):
+        for cut in np.unique(x[:, f]):
+            left = x[:, f] <= cut
+            if 20 <= left.sum() <= 380:
+                best[f, cut] = ((y[left] - y[left].mean()) ** 2).sum() + ((y[~left] - y[~left].mean()) ** 2).sum()
+    f, cut = min(best, key=best.get)
+    assert (trees.feature[0, 0], trees.threshold[0, 0]) == (f, cut)
+    left = x[:, f] <= cut
+    assert np.allclose(trees.score(x), np.where(left, y[left].mean(), y[~left].mean()))
+
+
+def test_models_of_all_keys_grow_in_one_job_and_stay_apart(spark, train):
+    together = boosting.fit_forecasters(train, K.FEATURES, ("category",), "residual", rounds=5)
+    alone = boosting.train_boosted(train.filter("category = 'Juice'"), K.FEATURES, "residual", rounds=5)
+    assert len(together) == 5
+    assert np.array_equal(together[("Juice",)].point.feature, alone.point.feature)
+    assert np.allclose(together[("Juice",)].point.value, alone.point.value)
+    scored = boosting.predict_by_key(train, {("Juice",): alone}, ("category",))
+    assert scored.filter("category <> 'Juice' AND point IS NOT NULL").count() == 0
+
+
+def test_bounded_fit_takes_a_share_of_each_key(spark):
+    frame = spark.range(4000).selectExpr("id % 2 AS k", "CAST(id AS DOUBLE) AS x", "CAST(id AS DOUBLE) AS target")
+    found = boosting.fit_trees(frame, ["x"], ["k"], {"point": None}, fit_rows=500, rounds=1)
+    assert {key: rows for key, heads in found.items() for _, rows in heads.values()} == {(0,): 2000, (1,): 2000}
+
+
 def brute_horizon(history, weights, weeks):
     """Step-by-step forecast of one series in plain Python."""
     rows = [dict(r) for r in history]
@@ -136,5 +172,10 @@ def test_clusters_cover_all_skus(spark, small):
     assert labels.count() == 25 and 3 <= model.k <= 4
     with pytest.raises(ValueError):
         fit_clustering(features.limit(3), starts=1)
+    path = scratch_path(spark, "clusters")
+    model.save(path)
+    assert {tuple(r) for r in ClusterModel.load(spark, path).labels(features).collect()} == {
+        tuple(r) for r in labels.collect()
+    }
     with pytest.raises(KeyError):
         behaviour.similar_skus(labels, labels, "ZZ-999")
