@@ -7,7 +7,7 @@ from shelfcast.functions import scalars as S
 from shelfcast.models.ridge import score_columns, score_with
 from shelfcast.operators.features import encoded_features, price_ratio
 from shelfcast.operators.windows import by_week, last_rows, whole_series
-from shelfcast.session import cut_lineage, small_side
+from shelfcast.session import cut_lineage
 
 
 STEPS = "array<struct<week:date,point:double,lower:double,upper:double>>"
@@ -126,7 +126,7 @@ def predict_horizon(recent, predict, weeks=K.HORIZON_DEFAULT):
 
 def linear_predictor(model, features=K.FEATURES, key="category"):
     """Predictor from a ridge model table with one row per category."""
-    ready, columns = small_side(model.drop("training_rows")), score_columns(features)
+    ready, columns = cut_lineage(model.drop("training_rows")), score_columns(features)
 
     def predict(frame):
         return score_with(frame, ready, (key,), columns)

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast import constants as K
-from shelfcast.session import small_side
 
 SALT = 32
 
@@ -116,7 +115,7 @@ def predict_ridge(frame, model, keys, features):
     The model is computed once and broadcast when its row count allows, so scored rows
     are not shuffled and a hot group stays spread out.
     """
-    ready = small_side(model.drop("training_rows"))
+    ready = model.drop("training_rows")
     return score_with(frame, ready, keys, score_columns(features))
 
 

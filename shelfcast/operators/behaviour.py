@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from shelfcast import constants as K
 from shelfcast.functions import scalars as S
+from shelfcast.operators.quantiles import exact_quantiles
 from shelfcast.operators.analytics import promo_means
 
 
@@ -62,7 +63,7 @@ def label_clusters(features, labels):
     """Readable label per cluster from the means of its SKUs."""
     limits = K.CLUSTER_LIMITS
     steady, seasonal, promo, niche, middle = K.CLUSTER_LABELS
-    median = features.agg(F.median("avg_weekly_demand")).scalar()
+    median = exact_quantiles(features, ("avg_weekly_demand",), (0.5,)).select("quantile").scalar()
     means = features.join(labels, "sku").groupBy("cluster").agg(*[
         F.avg(c).alias(c) for c in K.CLUSTER_FEATURES
     ])

@@ -108,7 +108,7 @@ def forecast_line(forecasts):
 
 
 def generate_insights(weekly, alerts, forecasts=None, limit=K.INSIGHT_LIMIT):
-    """The first few insights in section order (every section is a handful of rows)."""
+    """The first insights in section order, all with `limit=None` (sections are a handful of rows)."""
     parts = [category_growth(weekly)]
     if "category" in weekly.columns:
         parts.append(promo_effectiveness(weekly))
@@ -117,5 +117,5 @@ def generate_insights(weekly, alerts, forecasts=None, limit=K.INSIGHT_LIMIT):
         parts.append(forecast_line(forecasts))
     lines = reduce(lambda a, b: a.unionByName(b), parts)
     order = ("section", "weight", "rank")
-    first = lines.orderBy(*order).limit(limit)
+    first = lines if limit is None else lines.orderBy(*order).limit(limit)
     return first.select(F.row_number().over(Window.orderBy(*order)).alias("ordinal"), "insight")

@@ -84,12 +84,15 @@ def eligible_predictions(log, products, as_of):
 def weekly_actuals(daily_sales, wanted):
     """Units per series and week, for the products and weeks under scoring.
 
-    Semi joins on the distinct keys replace a collected IN list.
+    Semi joins on the distinct keys replace a collected IN list; the first and last week
+    become a date range that the scan can use.
     """
     weeks = wanted.select(F.col("forecast_week")).distinct()
     skus = wanted.select("sku").distinct()
+    first, last = weeks.agg(F.min("forecast_week"), F.max("forecast_week")).first()
+    days = F.col("sale_date").between(F.lit(first), F.date_add(F.lit(last), 6))
     return (
-        daily_sales.withColumn("forecast_week", S.week_start("sale_date"))
+        daily_sales.filter(days).withColumn("forecast_week", S.week_start("sale_date"))
         .join(skus, "sku", "left_semi").join(weeks, "forecast_week", "left_semi")
         .groupBy(*K.SERIES, "forecast_week").agg(F.sum("units_sold").alias("actual_units"))
     )
@@ -107,7 +110,6 @@ def score_predictions(log_table, performance_table, products, daily_sales, as_of
 
     The day's metrics cover everything scored on that day, also by an earlier run.
     """
-    spark = log_table.spark
     number = {c: F.col(c).cast("double") for c in ("predicted_units", "actual_units")}
     log = log_table.read().withColumns(number)
     matched = cut_lineage(match_actuals(log, products, daily_sales, as_of))
@@ -121,9 +123,8 @@ def score_predictions(log_table, performance_table, products, daily_sales, as_of
         log_table.read().withColumns(number).filter(F.col("scored_at").cast("date") == today)
         .join(products.select("sku", "category"), "sku")
     )
-    result = _dated(metrics.live_metrics(scored_today), as_of)
-    performance_table.upsert(result)
-    return spark.createDataFrame(result.collect(), result.schema)
+    performance_table.upsert(_dated(metrics.live_metrics(scored_today), as_of))
+    return performance_table.read().filter(F.col("scored_date") == today)
 
 
 def _dated(measured, as_of):

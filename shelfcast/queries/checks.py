@@ -83,11 +83,13 @@ def i2_duplicates(t):
 
 
 @query("i2_orphan_rows", """
-    SELECT sku, COUNT(*) AS rows FROM weekly
-    WHERE sku NOT IN (SELECT sku FROM products WHERE pack_type = 'Carton') GROUP BY sku
+    SELECT sku, COUNT(*) AS rows FROM (
+      SELECT CASE WHEN month = 7 THEN 'ZZ-' || substr(sku, 4) ELSE sku END AS sku FROM weekly)
+    WHERE sku NOT IN (SELECT sku FROM products) GROUP BY sku
 """)
 def i2_orphans(t):
-    return quality.orphans(t.weekly, t.products.filter(F.col("pack_type") == "Carton"))
+    renamed = F.when(F.col("month") == 7, F.concat(F.lit("ZZ-"), F.substring("sku", 4, 99))).otherwise(F.col("sku"))
+    return quality.orphans(t.weekly.withColumn("sku", renamed), t.products)
 
 
 @query("i3_weekly_contract", """
@@ -371,10 +373,10 @@ def k24(t):
     )
 
 
-@query("k24_all_insights", INSIGHT_SQL.format(limit=50))
+@query("k24_all_insights", INSIGHT_SQL.format(limit="ALL"))
 def k24_all(t):
     return insights.generate_insights(
-        t.weekly_categorised, alerts.detect_alerts(alert_panel(t)), limit=50
+        t.weekly_categorised, alerts.detect_alerts(alert_panel(t)), limit=None
     )
 
 

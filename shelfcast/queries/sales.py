@@ -701,10 +701,13 @@ def c11(t):
 
 
 @query("c12_orphan_skus", """
-    SELECT sku, COUNT(*) AS rows FROM daily_sales
-    WHERE sku NOT IN (SELECT sku FROM products WHERE category <> 'Juice') GROUP BY sku
+    SELECT sku, COUNT(*) AS rows FROM (
+      SELECT CASE WHEN month(sale_date) = 7 THEN 'ZZ-' || substr(sku, 4) ELSE sku END AS sku FROM daily_sales)
+    WHERE sku NOT IN (SELECT sku FROM products) GROUP BY sku
 """)
 def c12(t):
     from shelfcast.operators.quality import orphans
 
-    return orphans(t.daily_sales, t.products.filter(F.col("category") != "Juice"))
+    strange = F.concat(F.lit("ZZ-"), F.substring("sku", 4, 99))
+    renamed = F.when(F.month("sale_date") == 7, strange).otherwise(F.col("sku"))
+    return orphans(t.daily_sales.withColumn("sku", renamed), t.products)

@@ -1,15 +1,13 @@
 """Session settings and the shared folder for written intermediate tables."""
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 10_000
 
-
-def local_session(app="shelfcast", cores="*", shuffle_partitions=8, memory="20g"):
+def local_session(app="shelfcast", cores="*", shuffle_partitions=8, memory="12g"):
     """A local session for tests and benchmarks; clusters bring their own."""
     return (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
@@ -26,14 +24,17 @@ def local_session(app="shelfcast", cores="*", shuffle_partitions=8, memory="20g"
 def shared_root(spark):
     """Folder every executor can read: the cluster's `spark.checkpoint.dir`.
 
-    Only when neither that setting nor a checkpoint folder exists (local runs,
-    tests) is a fresh temporary folder taken.
+    Only where neither that setting nor a checkpoint folder exists, and only in local mode,
+    is a fresh temporary folder taken: on a cluster each machine would write to its own disk,
+    and readers would miss rows without an error.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = sc.getCheckpointDir()
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="shelfcast-")
         sc.setCheckpointDir(configured)
     elif sc.getCheckpointDir() is None:
@@ -55,12 +56,3 @@ def cut_lineage(df):
     path = scratch_path(df.sparkSession, "step")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def small_side(df, max_rows=BROADCAST_ROWS):
-    """A computed lookup for a join: broadcast when counted small, left to Spark beyond.
-
-    The lookup is written once, so the count is cheap and its plan does not run again.
-    """
-    written = cut_lineage(df)
-    return F.broadcast(written) if written.count() <= max_rows else written

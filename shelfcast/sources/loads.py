@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from shelfcast import schemas
 from shelfcast.operators.windows import first_rows
-from shelfcast.sources.snapshots import table
+from shelfcast.sources.snapshots import input_order, table
 
 
 def _schema(*fields):
@@ -73,17 +73,23 @@ MODEL_PERFORMANCE_LIVE = _schema(
 
 
 def open_table(spark, root, name):
-    """One of the nine stored tables; the large ones are partitioned by year."""
+    """One of the nine stored tables; the large ones are partitioned by month.
+
+    A day's load then reads and rewrites one month, not the year.
+    """
+    def month(date):
+        return F.date_format(date, "yyyy-MM")
+
     layout = {
         "products": (schemas.PRODUCTS, None),
-        "daily_sales": (DAILY_SALES, F.year("sale_date")),
-        "weekly_features": (WEEKLY_FEATURES, F.year("week")),
-        "enrichment_features": (ENRICHMENT_FEATURES, F.year("week")),
-        "demand_forecasts": (DEMAND_FORECASTS, F.year("forecast_week")),
-        "batch_predictions": (BATCH_PREDICTIONS, F.year("week")),
-        "prediction_log": (PREDICTION_LOG, F.year("forecast_week")),
+        "daily_sales": (DAILY_SALES, month("sale_date")),
+        "weekly_features": (WEEKLY_FEATURES, month("week")),
+        "enrichment_features": (ENRICHMENT_FEATURES, month("week")),
+        "demand_forecasts": (DEMAND_FORECASTS, month("forecast_week")),
+        "batch_predictions": (BATCH_PREDICTIONS, month("week")),
+        "prediction_log": (PREDICTION_LOG, month("forecast_week")),
         "model_lineage": (MODEL_LINEAGE, None),
-        "model_performance_live": (MODEL_PERFORMANCE_LIVE, F.year("scored_date")),
+        "model_performance_live": (MODEL_PERFORMANCE_LIVE, month("scored_date")),
     }
     return table(spark, root, name, *layout[name])
 
@@ -95,10 +101,9 @@ def product_master(daily, order):
 
 def load_products(spark, root, daily, order=None):
     """Product master from daily rows; file order decides unless `order` names a column."""
-    kept = daily.select("sku", "brand", "segment", "category", "pack_type",
-                        *([order] if order else []))
-    if order is None:
-        kept, order = kept.withColumn("_file_order", F.monotonically_increasing_id()), "_file_order"
+    place = input_order(daily) if order is None else F.col(order)
+    kept = daily.select("sku", "brand", "segment", "category", "pack_type", place.alias("_place"))
+    order = "_place"
     return open_table(spark, root, "products").upsert(product_master(kept, order))
 
 

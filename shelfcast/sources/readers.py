@@ -1,4 +1,8 @@
-"""Readers and writers of files; columns are taken by name and cast, never inferred."""
+"""Readers and writers of files; columns are taken by name and cast, never inferred.
+
+Of several CSV files all must have the columns of the first in its order; a file with another
+header raises, as Spark reads by place.
+"""
 
 from pyspark.sql import functions as F
 
@@ -29,9 +33,10 @@ def conform(frame, schema):
 
 
 def _read_csv(spark, path, schema, required=None):
-    raw = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
-    require_columns(raw, required or schema.names, "CSV file")
-    return conform(raw, schema)
+    reader = spark.read.option("header", True).option("mode", "FAILFAST")
+    first = reader.csv(path)
+    require_columns(first, required or schema.names, "CSV file")
+    return conform(reader.schema(first.schema).option("enforceSchema", False).csv(path), schema)
 
 
 def read_daily_csv(spark, path):

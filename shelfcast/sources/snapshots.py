@@ -1,13 +1,15 @@
 """Keyed Parquet tables with upsert.
 
-Data files are never changed. A write puts the touched partitions into a new folder
-and then appends one line per partition to the table's log; readers take, for each
+Data files are never changed. A write puts the touched partitions into a new folder of
+its own and then appends one line per partition to the table's log; readers take, for each
 partition, the newest replacement and what was added after it. A job that dies before
-the log line leaves the table as it was, and can be run again.
+the log line leaves the table as it was, and can be run again. Keys are never NULL.
 """
 
 import re
+import uuid
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast import constants as K
+from shelfcast.session import cut_lineage
 
 _LOG = "version long, part string, mode string, path string, rows long"
 
@@ -31,6 +34,19 @@ def checked_table(name):
     return name
 
 
+def input_order(frame):
+    """Order of the rows in the input: file, place of the block in it, row of the block.
+
+    Spark packs files by size, so the partition alone is not the file order. A frame that
+    was not read from files has the order of its rows.
+    """
+    offered = frame._jdf.queryExecution().analyzed().metadataOutput().toString()
+    place = []
+    if "_metadata#" in offered:
+        place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")]
+    return F.struct(*place, F.monotonically_increasing_id().alias("row"))
+
+
 @dataclass
 class SnapshotTable:
     """A table below `root` with the given schema, unique keys and partition expression."""
@@ -53,17 +69,17 @@ class SnapshotTable:
         return (F.lit("all") if self.part is None else self.part).cast("string")
 
     def _live(self, parts=None):
-        """Folders in force, one log line per partition and write (never per row)."""
+        """Folders in force: per partition the newest replacement and what came after it.
+
+        Only these reach the driver, not the history of the table.
+        """
         log = self._log().filter("rows > 0")
         if parts is not None:
             log = log.filter(F.col("part").isin(*parts))
-        entries = sorted(log.collect(), key=lambda r: r["version"])
-        live = {}
-        for entry in entries:
-            if entry["mode"] == "replace":
-                live[entry["part"]] = []
-            live.setdefault(entry["part"], []).append(entry["path"])
-        return [path for paths in live.values() for path in paths]
+        replaced = F.when(F.col("mode") == "replace", F.col("version"))
+        newest = log.groupBy(F.col("part").alias("of")).agg(F.coalesce(F.max(replaced), F.lit(0)).alias("since"))
+        live = log.join(newest, F.col("part") == F.col("of")).filter("version >= since")
+        return [r["path"] for r in live.orderBy("version", "part").select("path").collect()]
 
     def read(self, parts=None):
         paths = self._live(parts)
@@ -74,8 +90,10 @@ class SnapshotTable:
     def _commit(self, frame, mode, batch_rows):
         newest = self._log().agg(F.max("version")).first()[0] or 0
         version = newest + 1
-        folder = f"{self.root}/data/version={version}"
-        frame.withColumn("_part", self._part()).write.partitionBy("_part").parquet(folder)
+        # a name no earlier attempt had, whether it lived to write its log line or not
+        folder = f"{self.root}/data/version={version}-{uuid.uuid4().hex}"
+        parted = frame.withColumn("_part", self._part()).hint("rebalance", "_part")
+        parted.write.partitionBy("_part").parquet(folder)
         lines = [
             (version, part, mode, f"{folder}/_part={part}", rows)
             for part, rows in batch_rows.items()
@@ -84,8 +102,21 @@ class SnapshotTable:
         log.coalesce(1).write.mode("append").json(f"{self.root}/log")
 
     def _batch_rows(self, batch):
-        counts = batch.groupBy(self._part().alias("part")).agg(F.count("*").alias("rows"))
-        return {r["part"]: r["rows"] for r in counts.collect()}
+        """Rows per partition; raises when a key is NULL."""
+        without = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in self.keys])
+        counts = batch.groupBy(self._part().alias("part")).agg(
+            F.count("*").alias("rows"), F.count_if(without).alias("without")
+        ).collect()
+        if missing := sum(r["without"] for r in counts):
+            raise ValueError(f"{missing} rows without a value in {', '.join(self.keys)}")
+        return {r["part"]: r["rows"] for r in counts}
+
+    def _staged(self, batch, order):
+        """The batch with the place of its rows, run once and written to the shared folder."""
+        checked = self._checked(batch, order)
+        position = input_order(checked) if order is None else F.col(order)
+        kept = [c for c in checked.columns if c in self.schema.names]
+        return cut_lineage(checked.select(*kept, position.alias("_position")))
 
     def _checked(self, batch, order):
         for name in [*batch.columns, *self.keys]:
@@ -95,15 +126,13 @@ class SnapshotTable:
             raise ValueError(f"columns not in the table: {sorted(unknown)}")
         return batch
 
-    def _one_per_key(self, batch, pick, order):
+    def _one_per_key(self, staged, pick):
         """One row per key by partial aggregation, so copies of a key shrink map-side."""
-        others = [c for c in batch.columns if c in self.schema.names and c not in self.keys]
-        position = F.monotonically_increasing_id() if order is None else F.col(order)
-        ordered = batch.withColumn("_position", position)
+        others = [c for c in staged.columns if c != "_position" and c not in self.keys]
         if not others:
-            return ordered.select(*self.keys).distinct()
+            return staged.select(*self.keys).distinct()
         packed = pick(F.struct(*others), F.col("_position")).alias("_row")
-        return ordered.groupBy(*self.keys).agg(packed).select(*self.keys, "_row.*")
+        return staged.groupBy(*self.keys).agg(packed).select(*self.keys, "_row.*")
 
     def _conformed(self, frame):
         kinds = {f.name: f.dataType for f in self.schema.fields}
@@ -115,17 +144,17 @@ class SnapshotTable:
     def upsert(self, batch, order=None):
         """Insert new keys, replace the supplied columns of known ones; returns input rows.
 
-        Among copies of a key the last one in input order (or by `order`) counts.
-        Columns the batch lacks keep their old values. A batch of keys alone adds
+        Among copies of a key the last one in input order (see input_order), or by `order`,
+        counts. The batch runs once; a NULL key raises before anything is stored. Columns the batch lacks keep their old values. A batch of keys alone adds
         the unknown ones. Only partitions the batch touches are read and rewritten.
         """
-        batch = self._checked(batch, order)
         if set(batch.columns) - {order} <= set(self.keys):
             return self.insert_new(batch, order)
-        rows = self._batch_rows(batch)
+        staged = self._staged(batch, order)
+        rows = self._batch_rows(staged)
         if not rows:
             return 0
-        latest = self._one_per_key(batch, F.max_by, order)
+        latest = self._one_per_key(staged, F.max_by)
         supplied = [c for c in latest.columns if c not in self.keys]
         new = latest.select(*self.keys, F.struct(*supplied).alias("_new"))
         merged = self.read(list(rows)).join(new, list(self.keys), "full_outer")
@@ -141,13 +170,13 @@ class SnapshotTable:
 
         The new rows are added next to the stored ones, which are not rewritten.
         """
-        batch = self._checked(batch, order)
-        rows = self._batch_rows(batch)
+        staged = self._staged(batch, order)
+        rows = self._batch_rows(staged)
         if not rows:
             return 0
-        first = self._one_per_key(batch, F.min_by, order)
+        first = self._one_per_key(staged, F.min_by)
         stored = self.read(list(rows)).select(*self.keys)
-        fresh = self._conformed(first.join(stored, list(self.keys), "left_anti"))
+        fresh = cut_lineage(self._conformed(first.join(stored, list(self.keys), "left_anti")))
         fresh_rows = self._batch_rows(fresh)
         if fresh_rows:
             self._commit(fresh, "add", fresh_rows)

@@ -19,7 +19,7 @@ WEEKLY_SUMS = T.StructType([
 
 
 def weekly_sums_table(spark, root):
-    return SnapshotTable(spark, root, WEEKLY_SUMS, K.WEEKLY_KEY, F.year("week"))
+    return SnapshotTable(spark, root, WEEKLY_SUMS, K.WEEKLY_KEY, F.date_format("week", "yyyy-MM"))
 
 
 def stream_weekly_sums(daily_stream, late_days=K.SETTLE_DAYS):

@@ -1,8 +1,9 @@
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from shelfcast import schemas
-from shelfcast.session import scratch_path
+from shelfcast.session import scratch_path, shared_root
 from shelfcast.sources import loads, readers
 from shelfcast.sources.catalog import ModelCatalog
 from shelfcast.sources.snapshots import checked_identifier, checked_table
@@ -44,12 +45,83 @@ def test_only_touched_partitions_are_rewritten(spark, small):
     table = loads.open_table(spark, scratch_path(spark, "t"), "daily_sales")
     table.upsert(small.daily_sales)
     before = set(table._live())
-    one_year = small.daily_sales.filter(F.year("sale_date") == 1997)
-    table.upsert(one_year.withColumn("units_sold", F.lit(1.0)))
+    one_month = small.daily_sales.filter(F.date_format("sale_date", "yyyy-MM") == "1997-03")
+    table.upsert(one_month.withColumn("units_sold", F.lit(1.0)))
     assert len(before & set(table._live())) == len(before) - 1
     assert table.read().count() == small.daily_sales.count()
 
 
+def test_a_dead_job_leaves_the_table_writable(spark, monkeypatch):
+    """The data of an attempt is there, its log line is not: the next attempt succeeds."""
+    table = loads.open_table(spark, scratch_path(spark, "t"), "products")
+    table.upsert(products(spark))
+
+    def die(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(DataFrameWriter, "json", die)
+        with pytest.raises(OSError):
+            table.upsert(products(spark, [("MI-001", "x", "s", "Milk", "Single")]))
+    assert table.read().filter("brand = 'x'").count() == 0
+    table.upsert(products(spark, [("MI-001", "x", "s", "Milk", "Single")]))
+    assert table.read().filter("brand = 'x'").count() == 1
+
+
+def test_null_keys_are_refused_and_harm_nothing(spark, small):
+    table = loads.open_table(spark, scratch_path(spark, "t"), "daily_sales")
+    rows = small.daily_sales.limit(10)
+    table.upsert(rows)
+    for write in (table.upsert, table.insert_new):
+        with pytest.raises(ValueError, match="without a value"):
+            write(rows.withColumn("sale_date", F.lit(None).cast("date")))
+    assert table.read().count() == 10
+
+
+def test_last_file_wins_however_files_are_packed(spark):
+    """A small first file and a larger second one, which Spark reads first."""
+    path = scratch_path(spark, "files")
+    rows = [(f"MI-{i:05d}", "old", "s", "Milk", "Single") for i in range(3)]
+    newer = [(f"MI-{i:05d}", "new", "s", "Milk", "Single") for i in range(20000)]
+    for n, part in enumerate((rows, newer)):
+        products(spark, part).coalesce(1).write.parquet(f"{path}/{n}")
+    read = spark.read.option("recursiveFileLookup", True).parquet(path)
+    for order in (read, read.select("*")):
+        table = loads.open_table(spark, scratch_path(spark, "t"), "products")
+        table.upsert(order)
+        assert {r["brand"] for r in table.read().filter("sku < 'MI-00003'").collect()} == {"new"}
+        first = loads.open_table(spark, scratch_path(spark, "t"), "products")
+        first.insert_new(order)
+        assert {r["brand"] for r in first.read().filter("sku < 'MI-00003'").collect()} == {"old"}
+
+
+def test_csv_files_with_other_column_order_are_refused(spark, small):
+    path = scratch_path(spark, "csv")
+    frame = small.template.limit(4).coalesce(1)
+    frame.write.option("header", True).csv(path)
+    swapped = [c for c in frame.columns if c not in ("avg_temp", "inflation_index")]
+    frame.select("inflation_index", "avg_temp", *swapped).write.mode("append").option("header", True).csv(path)
+    with pytest.raises(Exception, match="header"):
+        readers.read_enriched_csv(spark, path).collect()
+
+
+def test_a_cluster_without_shared_folder_is_an_error():
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(Session())
+
+
 def test_unknown_names_are_refused(spark):
     with pytest.raises(ValueError):
         checked_table("users")
