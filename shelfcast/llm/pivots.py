@@ -22,7 +22,7 @@ from shelfcast.llm.arrow import batch_of
 from shelfcast.session import cut_lineage
 
 SCALE = 256
-#: Vectors from which pivots are chosen, and rings per pivot at most.
+#: Vectors, about, from which pivots are chosen, and rings per pivot at most.
 SAMPLE, MOST_RINGS = 2000, 64
 _INDEX = "pivot int, ring int, salt int, dist double, vec_id long, ints array<long>"
 _ASKED = "block string, chunk int, query_id long, dist double, radius double, ints array<long>"
@@ -85,7 +85,9 @@ def _space(table, pivots, block_rows):
     if not n:
         return None, 0
     dim, longest = max(dim, 1), float(longest)
-    sample = table.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
+    # one row in n / SAMPLE by hash: about SAMPLE rows, whatever the size
+    sample = table.where(F.pmod(F.xxhash64("vec_id"), F.lit(-(-n // SAMPLE))) == 0).limit(2 * SAMPLE).collect()
+    sample = sorted(sample, key=lambda r: r.vec_id) or [table.first()]
     bare = Space(dim, longest, np.zeros((0, dim + 1)), {})
     points = bare.lifted(_matrix(pa.array([r.ints for r in sample], pa.list_(pa.int64())), dim))
     chosen = [int(np.argmin(((points - points.mean(axis=0)) ** 2).sum(axis=1)))]
@@ -250,7 +252,7 @@ def top_k(table, is_query, k=5, pivots=32, block_rows=2048, query_rows=4096, fir
     # a hair more than the exact radius, as distances are rounded
     radius = F.sqrt(F.greatest(square, F.lit(0.0))) * (1 + 1e-9) + 1e-3
     reached = queries.join(floors, F.col("vec_id") == F.col("of"), "left").select(
-        "vec_id", "ints", F.coalesce(radius, F.lit(float("inf"))).alias("radius")
+        "vec_id", "ints", F.when(F.col("floor").isNull(), float("inf")).otherwise(radius).alias("radius")
     )
     late = _search(_route(reached, space, blocks, query_rows, n_chunks, first_rows, k), index, space, k)
     return (
