@@ -134,11 +134,14 @@ def judge_urls(pages, rules, patterns=PATTERNS, default="allow", url="url"):
         hits.groupBy(F.col("__url").alias("__of"), rank.alias("rank"))
         .agg(F.min(F.struct("name", "rule_verdict")).alias("hit"))
         .groupBy("__of").agg(F.max_by("hit", "rank").alias("hit"), F.max("rank").alias("rank"))
-        .select("__of", "hit.name", "hit.rule_verdict", F.col("rank.first").alias("first"))
+        .select(
+            "__of", F.col("hit.name").alias("__name"), F.col("hit.rule_verdict").alias("__verdict"),
+            F.col("rank.first").alias("__first"),
+        )
     )
     joined = rows.join(best, F.col("__url") == F.col("__of"), "left")
     return joined.withColumns({
-        "rule": F.when(F.col("first") == 2, F.col("name")),
-        "pattern": F.when(F.col("first") == 1, F.col("name")),
-        "verdict": F.coalesce("rule_verdict", F.lit(default)),
+        "rule": F.when(F.col("__first") == 2, F.col("__name")),
+        "pattern": F.when(F.col("__first") == 1, F.col("__name")),
+        "verdict": F.coalesce("__verdict", F.lit(default)),
     }).select(*kept, *added)
