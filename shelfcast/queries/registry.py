@@ -6,6 +6,7 @@ from typing import Callable
 from pyspark.sql import functions as F
 
 from shelfcast.queries.shared_sql import SHARED
+from shelfcast.session import ship_package
 from shelfcast.sources.stored_tables import StoredTables
 
 REGISTERED = {}
@@ -19,6 +20,7 @@ class Registered:
     digits: int
 
     def run(self, spark, folder):
+        ship_package(spark)
         frame = self.build(StoredTables(spark, folder))
         return frame.withColumns({c: _rounded(c, self.digits) for c in self.rounded})
 

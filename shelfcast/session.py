@@ -1,8 +1,10 @@
 """Session settings and the shared folder for written intermediate tables."""
 
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -21,6 +23,29 @@ def local_session(app="shelfcast", cores="*", shuffle_partitions=8, memory="12g"
     )
 
 
+_SHIPPED = set()
+
+
+def ship_package(spark):
+    """Sends this package to the Python workers, once per application.
+
+    Functions that run in tasks refer to its modules, which executors do not have unless
+    the application was started with them. Spark's own file server carries the archive.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="shelfcast-"), "shelfcast-package.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
 def shared_root(spark):
     """Folder every executor can read: the cluster's `spark.checkpoint.dir`.
 
