@@ -196,11 +196,19 @@ def _merged(held, window):
     return rows
 
 
-def repeated_windows(docs, window=20):
+def _number(doc_id):
+    return F.coalesce(F.col(doc_id).cast("long"), F.lit(_SMALLEST))
+
+
+def _text_key(text):
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def repeated_windows(docs, window=20, doc_id="doc_id", text="text"):
     """Runs of windows that also start earlier: (doc, text_key, start, windows).
 
-    `docs` has (doc, text_key, text). Each run is `windows` windows, one word apart, from word
-    `start` on.
+    Each run is `windows` windows, one word apart, from word `start` on. `doc` is the id (the
+    smallest long for null) and `text_key` a hash of the text, for rows that share an id.
     """
     anchor_schema = pa.schema([("anchor", pa.int64()), ("n", pa.int64())])
     place_schema = pa.schema([("anchor", pa.int64()), ("doc", pa.int64()), ("start", pa.int32())])
@@ -259,18 +267,22 @@ def repeated_windows(docs, window=20):
         if found:
             yield batch_of(found_schema, *map(list, zip(*found)))
 
-    light = docs.select("doc", "text")
+    light = docs.select(_number(doc_id).alias("doc"), F.col(text).alias("text"))
     repeated = (
         light.select("text").mapInArrow(count, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
         .where("n > 1").select(F.col("anchor").alias("of"), (F.col("n") > HOT).alias("hot"))
     )
     places = light.mapInArrow(place, "anchor long, doc long, start int")
     wanted = (
-        places.join(repeated, F.col("anchor") == F.col("of")).groupBy(F.col("doc").alias("in_doc"))
-        .agg(F.collect_list(F.struct("start", "hot")).alias("wanted"))
+        places.join(repeated, F.col("anchor") == F.col("of")).groupBy(F.col("doc").alias("__in_doc"))
+        .agg(F.collect_list(F.struct("start", "hot")).alias("__wanted"))
+    )
+    # joined by the same rows and key as in remove_repeats, so that one exchange serves both
+    asked = docs.join(wanted, _number(doc_id) == F.col("__in_doc")).select(
+        F.col("__in_doc").alias("doc"), _text_key(text).alias("text_key"), F.col(text).alias("text"),
+        F.col("__wanted").alias("wanted"),
     )
-    asked = docs.select("doc", "text_key", "text").join(wanted, F.col("doc") == F.col("in_doc"))
-    sent = asked.select("doc", "text_key", "text", "wanted").mapInArrow(
+    sent = asked.mapInArrow(
         send, "shard long, words binary, doc long, text_key long, start int, windows int"
     )
     dealt = sent.repartition("shard").sortWithinPartitions("shard")
@@ -310,17 +322,15 @@ def remove_repeats(docs, window=20, doc_id="doc_id", text="text"):
     """
     added = ("n_words", "n_removed", "removed_spans", "kept_text")
     kept = [c for c in docs.columns if c not in added]
-    number = F.coalesce(F.col(doc_id).cast("long"), F.lit(_SMALLEST))
-    body = F.coalesce(F.col(text), F.lit(""))
-    plain = docs.select(number.alias("doc"), F.xxhash64(body).alias("text_key"), body.alias("text"))
+    rows = docs.select(*kept)
     runs = (
-        repeated_windows(plain, window).groupBy(F.col("doc").alias("__doc"))
+        repeated_windows(rows, window, doc_id, text).groupBy(F.col("doc").alias("__doc"))
         .agg(F.collect_set(F.struct("text_key", "start", "windows")).alias("__runs"))
     )
-    rows = docs.select(*kept, number.alias("__of"), F.xxhash64(body).alias("__text_key"), body.alias("__text"))
-    joined = rows.join(runs, F.col("__of") == F.col("__doc"), "left").select(
-        *kept, "__text", F.expr("transform(filter(__runs, r -> r.text_key = __text_key), r -> struct(r.start, r.windows))").alias("__own"),
+    own = F.transform(
+        F.filter("__runs", lambda r: r["text_key"] == _text_key(text)), lambda r: F.struct(r["start"], r["windows"])
     )
+    joined = rows.join(runs, _number(doc_id) == F.col("__doc"), "left").select(*kept, own.alias("__own"))
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     shape = (
         docs.select(*kept).schema.add("n_words", "long").add("n_removed", "long")
@@ -334,9 +344,9 @@ def remove_repeats(docs, window=20, doc_id="doc_id", text="text"):
 
     def clean(batches):
         for batch in batches:
-            texts, own = texts_of(batch, "__text"), batch.column("__own").to_pylist()
+            texts, own = texts_of(batch, text), batch.column("__own").to_pylist()
             done = [_kept(t, [tuple(r.values()) for r in runs or []], window) for t, runs in zip(texts, own)]
-            rest = batch.drop_columns(["__text", "__own"])
+            rest = batch.drop_columns(["__own"])
             made = batch_of(out, *(map(list, zip(*done)) if done else [[]] * 4))
             yield pa.RecordBatch.from_arrays([*rest.columns, *made.columns], names=[*rest.schema.names, *out.names])
 
