@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 #: Slots of a frame for each source: a weight is met to within about one part in this many.
 SLOTS_PER_SOURCE = 64
-#: Rows of a source that are ranked together, and buckets whose counts are added together.
-BUCKET_ROWS, SUPER = 4096, 1024
+#: Rows that are ranked together at most, on average, and buckets whose counts are added together.
+BUCKET_ROWS, SUPER = 512, 1024
 
 
 def _sizes(keyed):
@@ -31,14 +31,14 @@ def _slots(sizes, weights, temperature):
         table = F.create_map(*[F.lit(x) for kv in weights.items() for x in kv])
         weighed = sizes.withColumn("weight", F.coalesce(table[F.col("__source")].cast("double"), F.lit(0.0)))
     total = weighed.agg(F.sum("weight").alias("all"), F.count(F.lit(1)).alias("sources"))
-    share = F.col("weight") * F.col("sources") * SLOTS_PER_SOURCE / F.col("all")
+    share = F.col("weight") * F.col("sources") * SLOTS_PER_SOURCE / F.nullif("all", F.lit(0.0))
     return weighed.join(total).select(
         "__source", "rows", F.greatest(F.lit(1), F.coalesce(F.round(share), F.lit(0))).cast("int").alias("slots")
     )
 
 
 def _frame(slots):
-    """One frame: (source, place among its blocks of the frame, slot), earliest deadline first."""
+    """One frame: (source, slot, slots of the frame), earliest deadline first."""
     one = slots.agg(
         F.array_sort(F.collect_list(F.struct("__source", "slots"))).alias("given")
     ).select("given", F.expr("aggregate(given, 0, (a, g) -> a + g.slots)").alias("length"))
@@ -55,39 +55,26 @@ def _frame(slots):
               'picks', concat(state.picks, array(best.s))))[0],
           state -> state.picks)""").alias("picks"))
     placed = picked.select("given", "length", F.posexplode("picks").alias("slot", "s"))
-    place = F.row_number().over(Window.partitionBy("s").orderBy("slot")) - 1
-    return placed.select(
-        F.expr("given[s].__source").alias("__source"), place.alias("place"), "slot", "length"
-    )
+    return placed.select(F.expr("given[s].__source").alias("__source"), "slot", "length")
 
 
-def _ranked(keyed, sizes):
-    """Rows with their rank within the source (from 0), in the order of md5(id) and the id.
+def _starts(dealt, per_source):
+    """(source, bucket) with the rank of its first row and what `per_source` has of the source.
 
-    A source is dealt into buckets by the hash's leading bits, so no source, however large,
-    is sorted in one task; a bucket's first rank is the sum of the counts before it, added up
-    in two levels.
+    The sum of the counts before a bucket is added up in two levels, so that no task sees all
+    buckets of a large source.
     """
-    dealt = keyed.join(sizes.select(F.col("__source").alias("__s"), "rows"), F.col("__source") == F.col("__s"))
-    buckets = F.ceil(F.col("rows") / BUCKET_ROWS)
-    leading = F.conv(F.substring("__md5", 1, 8), 16, 10).cast("long")
-    dealt = dealt.withColumn("__bucket", F.floor(leading * buckets / F.lit(2**32))).drop("__s", "rows")
     counts = dealt.groupBy("__source", "__bucket").agg(F.count(F.lit(1)).alias("n"))
     counts = counts.withColumn("super", F.floor(F.col("__bucket") / SUPER))
     within = Window.partitionBy("__source", "super").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     across = Window.partitionBy("__source").orderBy("super").rowsBetween(Window.unboundedPreceding, -1)
     supers = counts.groupBy("__source", "super").agg(F.sum("n").alias("all"))
     supers = supers.select("__source", "super", F.coalesce(F.sum("all").over(across), F.lit(0)).alias("base"))
-    starts = counts.withColumn("inside", F.coalesce(F.sum("n").over(within), F.lit(0))).join(
-        supers, ["__source", "super"]
-    ).select(
+    placed = counts.withColumn("inside", F.coalesce(F.sum("n").over(within), F.lit(0)))
+    return placed.join(supers, ["__source", "super"]).join(per_source, "__source").select(
         F.col("__source").alias("__s"), F.col("__bucket").alias("__b"),
-        (F.col("base") + F.col("inside")).alias("__start"),
+        (F.col("base") + F.col("inside")).alias("__start"), "__length", "__slots", "__at", "__end",
     )
-    order = Window.partitionBy("__source", "__bucket").orderBy("__md5", "__id")
-    numbered = dealt.withColumn("__n", F.row_number().over(order) - 1)
-    joined = numbered.join(starts, (F.col("__source") == F.col("__s")) & (F.col("__bucket") == F.col("__b")))
-    return joined.withColumn("__rank", F.col("__start") + F.col("__n")).drop("__s", "__b", "__n", "__start", "__bucket")
 
 
 def mix(docs, weights=None, temperature=0.7, block_rows=64, doc_id="doc_id", source="source"):
@@ -110,27 +97,27 @@ def mix(docs, weights=None, temperature=0.7, block_rows=64, doc_id="doc_id", sou
         *kept, F.coalesce(F.col(source), F.lit("")).alias("__source"), F.col(doc_id).alias("__id"),
         F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")).alias("__md5"),
     )
-    sizes = _sizes(keyed)
-    slots = _slots(sizes, weights, temperature)
-    frame = _frame(slots)
-    rate = slots.select(F.col("__source").alias("__s"), "slots", F.ceil(F.col("rows") / block_rows).alias("blocks"))
-    placed = frame.join(rate, F.col("__source") == F.col("__s")).drop("__s")
+    # every source is dealt into as many buckets: about BUCKET_ROWS rows of all sources each
+    buckets = max(1, -(-docs.count() // BUCKET_ROWS))
+    leading = F.conv(F.substring("__md5", 1, 8), 16, 10).cast("long")
+    dealt = keyed.withColumn("__bucket", F.floor(leading * F.lit(buckets) / F.lit(2**32)))
+    slots = _slots(_sizes(keyed), weights, temperature)
+    per_source = _frame(slots).groupBy("__source").agg(
+        F.max("length").cast("long").alias("__length"),
+        F.sort_array(F.collect_list("slot")).alias("__at"),
+    ).join(slots.select("__source", F.col("slots").alias("__slots"), F.ceil(F.col("rows") / block_rows).alias("blocks")), "__source")
     # the slot that a source's next block would have had marks its end
-    ends = placed.where("blocks % slots = place").select(
-        (F.expr("blocks div slots") * F.col("length") + F.col("slot")).alias("end")
-    ).agg(F.min("end").alias("__end"))
-    table = placed.join(ends).select(
-        F.col("__source").alias("__s"), F.col("place").alias("__place"), F.col("slot").alias("__slot"),
-        F.col("length").cast("long").alias("__length"), F.col("slots").alias("__slots"), "__end",
-    )
-    per_source = slots.select(F.col("__source").alias("__of"), F.col("slots").alias("__m"))
-    ranked = _ranked(keyed, sizes).withColumn("block", F.expr(f"__rank div {block_rows}") + 1)
-    ranked = ranked.join(per_source, F.col("__source") == F.col("__of")).withColumn("__j", F.expr("(block - 1) % __m"))
-    joined = ranked.join(table, (F.col("__source") == F.col("__s")) & (F.col("__j") == F.col("__place")))
-    return joined.withColumns({
+    ends = per_source.agg(F.min(F.expr("blocks div __slots * __length + __at[cast(blocks % __slots as int)]")).alias("__end"))
+    starts = _starts(dealt, per_source.join(ends))
+    order = Window.partitionBy("__source", "__bucket").orderBy("__md5", "__id")
+    numbered = dealt.withColumn("__n", F.row_number().over(order) - 1)
+    joined = numbered.join(starts, (F.col("__source") == F.col("__s")) & (F.col("__bucket") == F.col("__b")))
+    return joined.withColumn("__rank", F.col("__start") + F.col("__n")).withColumn(
+        "block", F.expr(f"__rank div {block_rows}") + 1
+    ).withColumns({
         "release": F.expr("(block - 1) * __length div __slots"),
         "deadline": F.expr("(block * __length + __slots - 1) div __slots"),
-        "slot": F.expr("(block - 1) div __slots * __length + __slot"),
+        "slot": F.expr("(block - 1) div __slots * __length + __at[cast((block - 1) % __slots as int)]"),
     }).withColumns({
         "position": F.expr(f"slot * {block_rows} + __rank % {block_rows}"),
         "balanced": F.expr("slot < __end"),
