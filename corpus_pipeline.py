@@ -5,7 +5,7 @@ copies, mixing to target weights, packing into sequences.
 """
 
 from shelfcast.llm import stages
-from shelfcast.session import scratch_path
+from shelfcast.session import scratch_path, ship_package
 
 STAGES = [
     ("language_id", stages.keep_known_language),
@@ -20,6 +20,7 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
+    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, name)

@@ -1,10 +1,12 @@
 """The registered queries of this subpackage and their SQL checks."""
 
+from functools import wraps
+
 from pyspark.sql import functions as F
 
 from shelfcast.llm import exact, jaccard, language, mixing, packing, pivots, quality, substrings, token_count, url_rules
 from shelfcast.llm.arrow import id_remainder
-from shelfcast.session import cut_lineage
+from shelfcast.session import cut_lineage, ship_package
 
 QUERIES, SQL = {}, {}
 
@@ -19,7 +21,12 @@ def query(name, sql=None):
     """Registers `fn(spark, sf_dir) -> DataFrame`."""
 
     def add(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark, folder):
+            ship_package(spark)
+            return fn(spark, folder)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
         return fn
