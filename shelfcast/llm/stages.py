@@ -5,23 +5,21 @@ from pyspark.sql import functions as F
 from shelfcast.llm import exact, jaccard, language, mixing, packing
 from shelfcast.llm.queries import vocabulary
 
-#: Cosine with the best language below which a text counts as no known language.
-LEAST_COSINE = 0.05
 #: Bytes of text that are packed together.
 SHARD_BYTES = 4_000_000
 
 
 def keep_known_language(spark, docs, sf_dir):
-    """Documents whose text has letters and resembles a language learned from `lang`.
+    """Documents in one of the languages learned from `lang`; those without a letter go.
 
+    A short text may resemble its language only a little, so no least cosine is asked for.
     Where no row names a language nothing can be learned, and all documents stay.
     """
     profiles = language.fit_profiles(docs, dimensions=1024)
     if not profiles.languages:
         return docs
     judged = language.identify(docs, profiles, prefix="__")
-    known = (F.col("__lang_pred") != language.UNKNOWN) & (F.col("__score") >= LEAST_COSINE)
-    return judged.where(known).select(*docs.columns)
+    return judged.where(F.col("__lang_pred") != language.UNKNOWN).select(*docs.columns)
 
 
 def drop_exact_copies(spark, docs, sf_dir):
