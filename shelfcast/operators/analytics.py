@@ -7,6 +7,8 @@ no hint: Spark broadcasts the side by its measured size or splits skewed keys.
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from shelfcast import constants as K
@@ -220,23 +222,55 @@ def numeric_columns(frame):
     return [n for n, t in frame.dtypes if t in kinds or t.startswith("decimal")]
 
 
+def _pair_sums(centred, names):
+    """Per column pair: rows with both values and the sums a correlation needs.
+
+    Each task multiplies its batches' matrices with numpy and emits one row per pair;
+    the rows then add up in Spark. The values come centred, which keeps the sums small.
+    """
+    schema = "left int, right int, n double, sx double, sy double, sxx double, syy double, sxy double"
+    size = len(names)
+
+    def per_task(batches):
+        total = np.zeros((6, size, size))
+        for batch in batches:
+            values = batch.to_numpy(dtype=float)
+            known = (~np.isnan(values)).astype(float)
+            x = np.nan_to_num(values)
+            total += (known.T @ known, x.T @ known, known.T @ x, (x * x).T @ known,
+                      known.T @ (x * x), x.T @ x)
+        left, right = np.indices((size, size)).reshape(2, -1)
+        sums = total.reshape(6, -1)
+        yield pd.DataFrame(dict(zip(
+            ("left", "right", "n", "sx", "sy", "sxx", "syy", "sxy"), (left, right, *sums)
+        )))
+
+    return centred.mapInPandas(per_task, schema).groupBy("left", "right").agg(
+        *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]
+    )
+
+
 def correlations(frame, columns=None):
     """Pearson correlation of every column pair in long form, 0 where undefined.
 
-    Only rows with both values count for a pair. One aggregation holds all pairs, whose
-    central moments merge map-side; nothing runs before the result is asked for.
+    Only rows with both values count for a pair. The means that centre the values are a
+    subquery of the plan, so nothing runs before the result is asked for.
     """
     names = list(columns or numeric_columns(frame))
     narrow = frame.select(*[S.nan_to_null(F.col(c).cast("double")).alias(c) for c in names])
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    cells = narrow.agg(*[F.corr(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
-
-    def rows(i, a, b):
-        value = F.coalesce(F.nanvl(F.col(f"_{i}"), F.lit(0.0)), F.lit(0.0)).alias("corr")
-        both = [(a, b)] if a == b else [(a, b), (b, a)]
-        return [F.struct(F.lit(x).alias("left"), F.lit(y).alias("right"), value) for x, y in both]
-
-    return cells.select(F.inline(F.array(*[r for i, (a, b) in enumerate(pairs) for r in rows(i, a, b)])))
+    means = narrow.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in names])
+    centred = narrow.select(*[(F.col(c) - means.select(c).scalar()).alias(c) for c in names])
+    spread = (
+        (F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx"))
+        * (F.col("n") * F.col("syy") - F.col("sy") * F.col("sy"))
+    )
+    shared = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
+    corr = F.when(spread > 0, F.try_divide(shared, F.sqrt(spread)))
+    label = F.array(*[F.lit(c) for c in names])
+    return _pair_sums(centred, names).select(
+        F.get(label, F.col("left")).alias("left"), F.get(label, F.col("right")).alias("right"),
+        F.coalesce(corr, F.lit(0.0)).alias("corr"),
+    )
 
 
 def ranked_correlations(frame, columns, target):
