@@ -151,19 +151,22 @@ def _texts(rows, wanted, size, seed):
     """(class, size, ranges, text) of one text of each wanted class, written once.
 
     `wanted` has (class, rep), the id under which the class is found; of rows that share an
-    id only the one with the class's text is taken.
+    id only one with the class's text is taken. Such rows meet in one task, so nothing is
+    shuffled to find them; where a skewed join is split they may stay twice, which does no harm.
     """
     schema = pa.schema([
         ("class", pa.int64()), ("size", pa.int32()), ("ranges", pa.list_(pa.int32())), ("text", pa.string()),
     ])
 
     def read(batches):
+        seen = set()
         for batch in batches:
             texts, classes = texts_of(batch), batch.column("class").to_pylist()
             out = []
             for a, b in chunks(texts):
                 for i, grams in zip(range(a, b), shingle_sets(texts[a:b], size, seed)):
-                    if _class_of(grams)[0] == classes[i]:
+                    if classes[i] not in seen and _class_of(grams)[0] == classes[i]:
+                        seen.add(classes[i])
                         ranges = np.bincount((grams >> np.uint64(59)).astype(np.int64), minlength=RANGES)
                         out.append((classes[i], len(grams), ranges.tolist(), texts[i]))
             if out:
@@ -171,7 +174,7 @@ def _texts(rows, wanted, size, seed):
 
     asked = rows.join(wanted, F.col("row").eqNullSafe(F.col("rep")))
     found = asked.select("class", "text").mapInArrow(read, "class long, size int, ranges array<int>, text string")
-    return cut_lineage(found.dropDuplicates(["class"]))
+    return cut_lineage(found)
 
 
 def _reach(size_a, place_a, size_b, place_b, top, bottom):
