@@ -26,6 +26,8 @@ from shelfcast.llm.token_count import WORDS, byte_symbols, local_name
 K1, B = 1.2, 0.75
 #: What a document counts for besides its bytes when shards are sized.
 ROW_BYTES = 256
+#: Weights are multiples of this, so that sums do not depend on their order.
+_GRAIN = 2.0**-30
 
 
 @lru_cache(maxsize=1)
@@ -43,28 +45,39 @@ def _encoder(path):
     return tiktoken.Encoding("given", pat_str=WORDS, mergeable_ranks=ranks, special_tokens=special)
 
 
+def _rarity(held, documents):
+    return np.log1p((documents - held + 0.5) / (held + 0.5))
+
+
 class InvertedIndex:
     """BM25 postings of one shard, sorted by term.
 
-    Terms that more than `most_common` of the documents hold say little and are not filed,
-    like stop words.
+    `corpus` is (documents that hold each term, documents, mean length) of the whole table, by
+    default those of `ids`. Terms that more than `most_common` of the documents hold are rows of
+    a matrix instead of postings; they count like any other.
     """
 
-    def __init__(self, ids, most_common=0.25):
+    def __init__(self, ids, most_common=0.25, corpus=None):
         self.documents = len(ids)
         terms, counts = zip(*(np.unique(x, return_counts=True) for x in ids))
         sizes = np.array([len(t) for t in terms])
         owner = np.repeat(np.arange(len(ids)), sizes)
         terms, counts = np.concatenate(terms).astype(np.int64), np.concatenate(counts)
-        held = np.bincount(terms)
-        keep = (held[terms] > 1) & (held[terms] <= max(2, most_common * len(ids)))
-        order = np.flatnonzero(keep)[np.argsort(terms[keep], kind="stable")]
-        terms, counts, self.owner = terms[order], counts[order], owner[order]
-        self.ends = np.cumsum(np.bincount(terms, minlength=len(held)))
+        here = np.bincount(terms)
         lengths = np.array([len(x) for x in ids], dtype=np.float64)
-        norm = K1 * (1 - B + B * lengths / lengths.mean())
-        rarity = np.log1p((len(ids) - held[terms] + 0.5) / (held[terms] + 0.5))
-        self.weight = rarity * counts * (K1 + 1) / (counts + norm[self.owner])
+        held, documents, mean = corpus or (here, len(ids), lengths.mean())
+        norm = K1 * (1 - B + B * lengths / mean)
+        weight = _rarity(held[terms], documents) * counts * (K1 + 1) / (counts + norm[owner])
+        weight = np.round(weight / _GRAIN) * _GRAIN
+        common = np.flatnonzero(here > max(2, most_common * len(ids)))
+        self.row = np.full(len(here), -1)
+        self.row[common] = np.arange(len(common))
+        dense = self.row[terms] >= 0
+        self.common = np.zeros((len(common), len(ids)))
+        self.common[self.row[terms[dense]], owner[dense]] = weight[dense]
+        order = np.flatnonzero(~dense)[np.argsort(terms[~dense], kind="stable")]
+        self.owner, self.weight = owner[order], weight[order]
+        self.ends = np.cumsum(np.bincount(terms[order], minlength=len(here)))
 
     def scores(self, query):
         """BM25 score of every document for the distinct terms of `query`."""
@@ -75,7 +88,9 @@ class InvertedIndex:
         sizes = ends - starts
         before = np.cumsum(sizes) - sizes
         at = np.arange(sizes.sum()) + np.repeat(starts - before, sizes)
-        return np.bincount(self.owner[at], weights=self.weight[at], minlength=self.documents)
+        asked = np.zeros(len(self.common))
+        asked[self.row[terms][self.row[terms] >= 0]] = 1
+        return np.bincount(self.owner[at], weights=self.weight[at], minlength=self.documents) + asked @ self.common
 
 
 def fill_windows(ids, window=1024, most_common=0.25):

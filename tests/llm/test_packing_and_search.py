@@ -203,3 +203,11 @@ def test_rules_are_filed_under_their_rarest_token(spark):
     filed = {r.name: r.token for r in url_rules._indexed(table, urls).collect()}
     assert filed == {"rare.common/x/": "x", "*": ""}
     assert url_rules._host_rule("block", "a.b/cd")["tokens"] == ["a", "b"]
+
+
+def test_terms_of_most_documents_count():
+    """Nine of ten documents hold terms 1 to 3: they score against each other, though less than by rare terms."""
+    ids = [np.array([1, 2, 3, 100 + n]) for n in range(9)] + [np.array([50, 51])]
+    scores = packing.InvertedIndex(ids).scores(ids[0])
+    assert (scores[1:9] > 0).all() and scores[9] == 0 and scores[0] > scores[1]
+    assert len(set(scores[1:9])) == 1
