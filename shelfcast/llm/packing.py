@@ -1,14 +1,21 @@
 """Packing documents into token sequences by lexical retrieval.
 
-Documents are dealt into shards of a bounded size. A task tokenises its shard, builds a BM25
-inverted index over the token ids, and fills windows: a seed document comes first, then the
-unused documents that score highest against the part of the seed in this window. Whatever
-does not fit is cut and is the seed of the next window, so windows have no padding; the last
-tokens of a shard are laid out in sequences whose lengths are powers of two.
+Documents are tokenised once, and BM25's statistics (document frequencies, number of documents,
+mean length) are those of the whole table. A sort key of weighted minimum hashes brings documents
+that share rare terms next to each other, wherever they were, and the order of the keys is cut
+into shards of a bounded size: a large group of one first hash is cut by the next ones. A task
+builds an inverted index of its shard and fills windows: a seed document comes first, then the
+unused documents that score highest against the part of the seed in this window. Whatever does
+not fit is cut and is the seed of the next window, so windows have no padding; the last tokens of
+a shard are laid out in sequences whose lengths are powers of two.
+
+A seed asks its own shard only. Two documents share a first hash with the probability of their
+weighted Jaccard index, so neighbours that share little may still lie in different shards.
 """
 
 import json
 import zlib
+from bisect import bisect_right
 from functools import lru_cache
 
 import numpy as np
@@ -19,13 +26,16 @@ from pyspark import SparkFiles
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.arrow import texts_of
+from shelfcast.llm.arrow import batch_of, texts_of
 from shelfcast.llm.token_count import WORDS, byte_symbols, local_name
+from shelfcast.session import cut_lineage
 
 #: BM25's saturation and length weights.
 K1, B = 1.2, 0.75
 #: What a document counts for besides its bytes when shards are sized.
 ROW_BYTES = 256
+#: Minimum hashes in a document's sort key, their seed, and sampled keys for each shard.
+HASHES, SEED, SAMPLED = 8, 11, 32
 #: Weights are multiples of this, so that sums do not depend on their order.
 _GRAIN = 2.0**-30
 
@@ -93,15 +103,15 @@ class InvertedIndex:
         return np.bincount(self.owner[at], weights=self.weight[at], minlength=self.documents) + asked @ self.common
 
 
-def fill_windows(ids, window=1024, most_common=0.25):
+def fill_windows(ids, window=1024, most_common=0.25, corpus=None):
     """Pieces (document, start, length, sequence, offset) that lay out every id once.
 
-    `ids` are the documents' id arrays, none of them empty. Seeds that no unused document
+    `ids` are the documents' id arrays, none of them empty; `corpus` see InvertedIndex. Seeds that no unused document
     shares a term with are followed by the first unused one; equal scores go to the first.
     """
     if not ids:
         return []
-    index = InvertedIndex(ids, most_common)
+    index = InvertedIndex(ids, most_common, corpus)
     unused = np.ones(len(ids), dtype=bool)
     sequences, first, rest = [], 0, None
     left = len(ids)
@@ -151,8 +161,87 @@ def _by_powers(pieces, sequence):
     return out
 
 
+def _statistics(encoded):
+    """(documents that hold each term, documents, mean length) of all encoded documents.
+
+    There are as many frequencies as the vocabulary has ids, whatever the number of documents.
+    """
+    schema = pa.schema([("term", pa.int64()), ("n", pa.int64())])
+
+    def count(batches):
+        held = np.zeros(0, dtype=np.int64)
+        for batch in batches:
+            for x in batch.column("__ids").to_pylist():
+                terms = np.unique(np.frombuffer(x, dtype="<u4"))
+                if terms[-1] >= len(held):
+                    held = np.pad(held, (0, int(terms[-1]) + 1 - len(held)))
+                held[terms] += 1
+        found = np.flatnonzero(held)
+        yield batch_of(schema, found, held[found])
+
+    rows = encoded.select("__ids").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    documents, mean = encoded.agg(F.count(F.lit(1)), F.avg("__tokens")).first()
+    held = np.zeros(max((r.term for r in rows), default=0) + 1, dtype=np.int64)
+    for r in rows:
+        held[r.term] = r.n
+    return held, documents, mean
+
+
+def _hash_table(corpus):
+    """A row for each hash: the value of every term, small more often for rare ones.
+
+    Terms of a single document are never the smallest, as nothing else can share them.
+    """
+    held, documents, _ = corpus
+    drawn = np.random.default_rng(SEED).exponential(size=(HASHES, len(held)))
+    return np.where(held > 1, drawn / np.maximum(_rarity(held, documents), 1e-300) ** 2, np.inf)
+
+
+def near_key(ids, table):
+    """Sort key of a document: the term of each minimum hash; documents close in it share rare terms."""
+    terms = np.unique(ids).astype(np.int64)
+    values = table[:, terms]
+    at = values.argmin(axis=1)
+    least = np.where(np.isfinite(values[np.arange(len(at)), at]), terms[at], 2**32 - 1)
+    return least.astype(">u4").tobytes()
+
+
+def _bounds(rows, corpus, shards, total):
+    """Keys at which the order of all documents is cut into shards of about equal size.
+
+    They come from about SAMPLED documents a shard, picked by hash in proportion to their size.
+    """
+    if shards < 2:
+        return []
+    rate = shards * SAMPLED / total
+    picked = rows.where(
+        F.pmod(F.xxhash64("__row", "__hash"), F.lit(2**30)) < F.col("__bytes") * F.lit(rate * 2**30)
+    ).select("__ids", "__hash", "__row", "__bytes")
+    schema = pa.schema([("key", pa.binary()), ("weight", pa.float64())])
+
+    def keys(batches):
+        table = _hash_table(corpus)
+        for batch in batches:
+            weights = np.maximum(1.0, batch.column("__bytes").to_numpy() * rate)
+            yield batch_of(schema, _keys(batch, table), weights)
+
+    found = sorted((r.key, r.weight) for r in picked.mapInArrow(keys, "key binary, weight double").collect())
+    sums = np.cumsum([w for _, w in found])
+    cuts = np.searchsorted(sums, np.arange(1, shards) * (sums[-1] / shards)) if found else []
+    return sorted({bytes(found[c][0]) for c in cuts})
+
+
+def _keys(batch, table):
+    """Sort keys of rows; rows of equal texts are told apart by their hash and number."""
+    columns = zip(*(batch.column(c).to_pylist() for c in ("__ids", "__hash", "__row")))
+    return [
+        near_key(np.frombuffer(x, dtype="<u4"), table) + (h + 2**63).to_bytes(8, "big") + n.to_bytes(8, "big")
+        for x, h, n in columns
+    ]
+
+
 def pack(docs, vocabulary, window=1024, end_id=0, shard_bytes=4_000_000, most_common=0.25,
-         shard=None, order=None, with_ids=True, doc_id="doc_id", text="text"):
+         place=None, order=None, with_ids=True, doc_id="doc_id", text="text"):
     """One row per piece: doc_id, start, length, ids, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document is the ids of its whole text (null: empty) and `end_id`; special strings in
@@ -160,10 +249,13 @@ def pack(docs, vocabulary, window=1024, end_id=0, shard_bytes=4_000_000, most_co
     sequence follow each other without a gap. `ids_crc32` is over little-endian unsigned
     32-bit ids; `ids` is left out where `with_ids` is false.
 
-    Shards hold about `shard_bytes` of text (a longer document fills one alone). By default
-    rows are dealt by a hash of id and text and seeds come in the order of the id; `shard` (a
-    long column) and `order` (a list of columns) replace that. Repeated rows and rows with a null id are
-    documents of their own. An empty table gives no rows. Only doc_id and text of `docs` are read.
+    Shards hold about `shard_bytes` of text (a longer document fills one alone) of documents
+    that are near in the order of their keys, from all of `docs`. Seeds come in the order of
+    the id, or of `order` (a list of columns). Sequences are numbered by shard (times 2^32) and
+    turn; with `place` (a long column, different for all rows, below 2^47) by 2^16 times the
+    place of the first document plus the turn among those it begins. Repeated rows and rows with
+    a null id are documents of their own. An empty table gives no rows. Only doc_id, text and
+    the columns named by `place` and `order` are read.
     """
     if window & (window - 1):
         raise ValueError("the window must be a power of two")
@@ -172,39 +264,74 @@ def pack(docs, vocabulary, window=1024, end_id=0, shard_bytes=4_000_000, most_co
         *([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else []),
         *[T.StructField(n, T.LongType()) for n in ("ids_crc32", "doc_tokens", "sequence_id", "offset")],
     ])
-    if shard is None:
-        size = F.sum(F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + ROW_BYTES)
-        shards = max(1, -(-(docs.agg(size).first()[0] or 0) // shard_bytes))
-        shard = F.pmod(F.xxhash64(doc_id, text), F.lit(shards))
-    dealt = docs.select(
-        F.col(doc_id).alias("__id"), F.col(text).alias("__text"), shard.cast("long").alias("__shard"),
-        F.struct(*(order or [F.col(doc_id), F.col(text)])).alias("__order"),
+    name, by_place = local_name(docs.sparkSession, vocabulary), place is not None
+    plain = docs.select(
+        F.col(doc_id).alias("__id"), F.col(text).alias("__text"),
+        (F.lit(None) if place is None else place).cast("long").alias("__place"),
+        F.struct(*(order or [F.col(doc_id)])).alias("__order"),
+        (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + ROW_BYTES).alias("__bytes"),
     )
-    ordered = dealt.groupBy("__shard")
-    name = local_name(docs.sparkSession, vocabulary)
+    written = T.StructType([f for f in plain.schema.fields if f.name != "__text"]).add("__ids", "binary").add("__tokens", "long")
 
-    def lay(group):
+    def encode(batches):
         encoder = _encoder(SparkFiles.get(name))
-        place = pa.compute.sort_indices(
-            pa.table([c for c in group.column("__order").combine_chunks().flatten()],
-                     names=[str(i) for i in range(group.column("__order").type.num_fields)]),
-            sort_keys=[(str(i), "ascending") for i in range(group.column("__order").type.num_fields)],
-        )
-        group = group.select(["__id", "__text", "__shard"]).take(place)
-        ids = []
-        for t in texts_of(group, "__text"):
-            ids.append(np.append(encoder.encode_to_numpy(t, allowed_special="all"), end_id).astype("<u4"))
+        for batch in batches:
+            ids = [
+                np.append(encoder.encode_to_numpy(t, allowed_special="all"), end_id).astype("<u4")
+                for t in texts_of(batch, "__text")
+            ]
+            rest = batch.drop_columns(["__text"])
+            made = [pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*rest.columns, *made], names=[*rest.schema.names, "__ids", "__tokens"])
+
+    encoded = cut_lineage(plain.mapInArrow(encode, written))
+    total = encoded.agg(F.sum("__bytes")).first()[0] or 0
+    shards = max(1, -(-total // shard_bytes))
+    corpus = _statistics(encoded)
+    # the number of a row in the written table splits rows that repeat an id and a text
+    rows = encoded.drop("__tokens").withColumns(
+        {"__row": F.monotonically_increasing_id(), "__hash": F.xxhash64("__id", "__ids")}
+    )
+    bounds = _bounds(rows, corpus, shards, total)
+
+    def deal(batches):
+        table = _hash_table(corpus) if bounds else None
+        for batch in batches:
+            number = [bisect_right(bounds, k) for k in _keys(batch, table)] if bounds else [0] * batch.num_rows
+            rest = batch.drop_columns(["__row", "__hash", "__bytes"])
+            yield pa.RecordBatch.from_arrays(
+                [*rest.columns, pa.array(number, pa.int64())], names=[*rest.schema.names, "__shard"]
+            )
+
+    dealt = rows.mapInArrow(
+        deal, T.StructType([f for f in rows.schema.fields if f.name not in ("__row", "__hash", "__bytes")]).add("__shard", "long")
+    )
+
+    def lay(group):
+        fields = [*group.column("__order").combine_chunks().flatten(), group.column("__ids")]
+        names = [str(i) for i in range(len(fields))]
+        turn = pa.compute.sort_indices(pa.table(fields, names=names), sort_keys=[(n, "ascending") for n in names])
+        group = group.select(["__id", "__ids", "__place", "__shard"]).take(turn)
+        ids = [np.frombuffer(x, dtype="<u4") for x in group.column("__ids").to_pylist()]
         number = group.column("__shard")[0].as_py()
-        doc, start, length, sequence, offset = map(np.array, zip(*fill_windows(ids, window, most_common)))
+        doc, start, length, sequence, offset = map(np.array, zip(*fill_windows(ids, window, most_common, corpus)))
         parts = [ids[d][a:a + n] for d, a, n in zip(doc, start, length)]
+        named = (number << 32) + np.arange(sequence[-1] + 1)
+        if by_place:
+            begins = np.full(len(named), -1)
+            begins[sequence[offset == 0]] = doc[offset == 0]
+            places, turns = group.column("__place").to_pylist(), {}
+            for n, d in enumerate(begins.tolist()):
+                turns[d] = turns.get(d, -1) + 1
+                named[n] = (places[d] << 16) + turns[d]
         columns = {
             "doc_id": group.column("__id").take(pa.array(doc)),
             "start": start, "length": length,
             "ids": pa.array([p.astype(np.int32) for p in parts], pa.list_(pa.int32())) if with_ids else None,
             "ids_crc32": [zlib.crc32(p.tobytes()) for p in parts],
             "doc_tokens": np.array([len(x) for x in ids])[doc],
-            "sequence_id": (number << 32) + sequence, "offset": offset,
+            "sequence_id": named[sequence], "offset": offset,
         }
         return pa.table({f: columns[f] for f in shape.names})
 
-    return ordered.applyInArrow(lay, shape)
+    return dealt.groupBy("__shard").applyInArrow(lay, shape)

@@ -41,17 +41,16 @@ def mix_sources(spark, docs, sf_dir):
 
 
 def pack_sequences(spark, docs, sf_dir):
-    """Pieces of sequences (see packing.pack), each shard a run of the mixed order.
+    """Pieces of sequences (see packing.pack), numbered in the mixed order of their first documents.
 
     `docs` are Parquet files in that order: the place of a row is its file and its row number
-    there, so every shard holds the sources in their target shares and seeds come in turn.
+    there. Seeds come in that order and their neighbours from all documents.
     """
-    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + packing.ROW_BYTES)
-    n, total = docs.agg(F.count(F.lit(1)), size).first()
-    per_shard = max(1, n * SHARD_BYTES // max(total or 0, 1))
     placed = docs.select(
         "doc_id", "text", F.col("_metadata.row_index").alias("row"),
         F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long").alias("file"),
     )
-    shard = F.col("file") * 2**20 + F.floor(F.col("row") / per_shard)
-    return packing.pack(placed, vocabulary(), shard=shard, order=[F.col("file"), F.col("row")])
+    place = F.col("file") * 2**26 + F.col("row")
+    return packing.pack(
+        placed, vocabulary(), shard_bytes=SHARD_BYTES, place=place, order=[F.col("file"), F.col("row")]
+    )

@@ -205,9 +205,49 @@ def test_rules_are_filed_under_their_rarest_token(spark):
     assert url_rules._host_rule("block", "a.b/cd")["tokens"] == ["a", "b"]
 
 
+def _topics(spark):
+    """40 topics of 6 documents of rare words of their own, ids dealt so that a topic is spread out."""
+    random = np.random.default_rng(8)
+    words = random.permutation([f"{a}{b}" for a in "bcdfghjklmnprstvwz" for b in ("arium", "olent", "ixing", "uddle", "atch", "ember", "ong", "ify", "est", "ound", "ack", "ine", "ory", "ush")])
+    rows = []
+    for n in range(6):
+        for topic in range(40):
+            own = random.choice(words[topic * 6:topic * 6 + 6], 40)
+            rows.append((len(rows), " ".join(x for w in own for x in ("the", w)), "en", "a"))
+    return documents(spark, rows)
+
+
+def test_neighbours_meet_whatever_the_number_of_shards(spark):
+    pieces = packing.pack(_topics(spark), VOCABULARY, window=256, shard_bytes=8_000, with_ids=False).collect()
+    assert len({p.sequence_id >> 32 for p in pieces}) > 8
+    by_sequence = {}
+    for p in pieces:
+        by_sequence.setdefault(p.sequence_id, []).append(p.doc_id % 40)
+    met = [len(set(t)) < len(t) for t in by_sequence.values() if len(t) > 1]
+    assert np.mean(met) > 0.6
+
+
+def test_statistics_are_those_of_the_whole_table(spark, library):
+    docs = small(spark)
+    ids = [np.array(x, dtype="<u4") for x in _ids(library, docs.collect()).values()]
+    frame = spark.createDataFrame([(bytearray(x.tobytes()), len(x)) for x in ids], "__ids binary, __tokens long")
+    held, documents_, mean = packing._statistics(frame.repartition(7))
+    assert documents_ == len(ids) and mean == np.mean([len(x) for x in ids])
+    assert (held == np.bincount(np.concatenate([np.unique(x) for x in ids]))).all()
+
+
 def test_terms_of_most_documents_count():
     """Nine of ten documents hold terms 1 to 3: they score against each other, though less than by rare terms."""
     ids = [np.array([1, 2, 3, 100 + n]) for n in range(9)] + [np.array([50, 51])]
     scores = packing.InvertedIndex(ids).scores(ids[0])
     assert (scores[1:9] > 0).all() and scores[9] == 0 and scores[0] > scores[1]
     assert len(set(scores[1:9])) == 1
+
+
+def test_repeated_rows_are_cut_into_shards(spark):
+    docs = documents(spark, [(None, "the same words again " * 50, "en", "a")] * 60)
+    pieces = packing.pack(docs, VOCABULARY, window=64, shard_bytes=12_000, with_ids=False).collect()
+    sizes = {}
+    for p in pieces:
+        sizes[p.sequence_id >> 32] = sizes.get(p.sequence_id >> 32, 0) + p.length
+    assert len(sizes) > 3 and max(sizes.values()) < sum(sizes.values()) / 2
