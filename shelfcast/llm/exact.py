@@ -47,5 +47,21 @@ def mark_copies(docs, doc_id="doc_id", text="text"):
 
 def drop_copies(docs, doc_id="doc_id", text="text"):
     """The rows of `docs` that stay, its columns unchanged."""
+    return _kept(docs, doc_id, text).select("__row.*")
+
+
+def _kept(docs, doc_id, text):
     plain = docs.select(F.col(doc_id).alias("__key"), F.struct(*docs.columns).alias("__row"), text)
-    return mark_copies(plain, "__key", text).where("kept").select("__row.*")
+    return mark_copies(plain, "__key", text).where("kept")
+
+
+def keep_one(docs, doc_id="doc_id", text="text"):
+    """Exactly one row of each group, its columns unchanged.
+
+    Unlike in drop_copies, rows that repeat the kept id and groups without an id also leave one
+    row, the smallest by all columns. Only kept rows of groups with copies are shuffled for
+    that, after tasks have reduced their own; columns must have an order.
+    """
+    kept = _kept(docs, doc_id, text)
+    several = kept.where("group_size > 1").groupBy("text_sha256").agg(F.min("__row").alias("__row"))
+    return kept.where("group_size = 1").select("__row.*").union(several.select("__row.*"))

@@ -276,7 +276,10 @@ def _classes(rows, size):
 
 
 def _groups(docs, size, top, bottom, doc_id, text):
-    """(row, key, size, least) per document: id, text hash, set size and the group's least id."""
+    """(row, key, size, least, part) per document: id, text hash, set size, the group's least id and the group.
+
+    `part` is null where a document has no words, as it is in no group.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(doc_id).cast("long").alias("row"), F.xxhash64(body).alias("key"), body.alias("text"))
     light, classes, seed = _classes(rows, size)
@@ -298,11 +301,11 @@ def _groups(docs, size, top, bottom, doc_id, text):
         F.col("class").alias("in_class"), "rep", F.coalesce("component", "class").alias("part")
     )
     least = grouped.groupBy(F.col("part").alias("in_part")).agg(F.min("rep").alias("least"))
-    named = grouped.join(least, F.col("part") == F.col("in_part")).select("in_class", "least")
+    named = grouped.join(least, F.col("part") == F.col("in_part")).select("in_class", "least", "part")
     documents = light.where("piece is null").select("row", "key", "class", "size")
     joined = documents.where("size > 0").join(named, F.col("class") == F.col("in_class"))
-    alone = documents.where("size = 0").select("row", "key", "size", F.col("row").alias("least"))
-    return joined.select("row", "key", "size", "least").union(alone)
+    alone = documents.where("size = 0").select("row", "key", "size", F.col("row").alias("least"), F.lit(None).cast("long").alias("part"))
+    return joined.select("row", "key", "size", "least", "part").union(alone)
 
 
 def similar_groups(docs, size=5, top=80, bottom=100, doc_id="doc_id", text="text"):
@@ -323,12 +326,25 @@ def similar_groups(docs, size=5, top=80, bottom=100, doc_id="doc_id", text="text
 
 
 def drop_similar(docs, size=5, top=80, bottom=100, doc_id="doc_id", text="text"):
-    """The rows of `docs` without those that link, however far, with a smaller id.
+    """One row of each group of documents that link, however far; columns are unchanged.
 
-    One document of each group stays, the one with the smallest id; columns are unchanged.
-    Rows that repeat the id and text of the one that stays all stay.
+    The smallest id stays, and of several texts under it, or of a group without ids, the one with
+    the smallest hash. Of rows that repeat the id and text of the one that stays, the smallest by
+    all columns stays (columns must have an order). Rows without words are in no group: all stay.
     """
-    later = _groups(docs, size, top, bottom, doc_id, text).where("not (row <=> least)")
-    gone = later.select(F.col("row").alias("__row"), F.col("key").alias("__key")).distinct()
-    same = F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("__key")
-    return docs.join(gone, F.col(doc_id).cast("long").eqNullSafe(F.col("__row")) & same, "left_anti")
+    grouped = cut_lineage(_groups(docs, size, top, bottom, doc_id, text).where("part is not null").select("row", "key", "part"))
+    pair = F.struct(F.col("row").isNull().alias("none"), "row", "key")
+    best = grouped.groupBy(F.col("part").alias("in_part")).agg(F.min(pair).alias("best"))
+    loses = ~(F.col("row").eqNullSafe(F.col("best.row")) & (F.col("key") == F.col("best.key")))
+    later = grouped.join(best, F.col("part") == F.col("in_part")).where(loses).select("row", "key").distinct()
+    repeated = grouped.groupBy("row", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("row", "key")
+
+    def met(marks, how):
+        marks = marks.select(F.col("row").alias("__row"), F.col("key").alias("__key"))
+        of_text = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+        return docs.join(marks, F.col(doc_id).cast("long").eqNullSafe(F.col("__row")) & (of_text == F.col("__key")), how)
+
+    several = met(repeated.subtract(later), "inner").groupBy("__row", "__key").agg(
+        F.min(F.struct(*docs.columns)).alias("__doc")
+    )
+    return met(later.union(repeated).distinct(), "left_anti").union(several.select("__doc.*"))

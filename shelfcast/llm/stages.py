@@ -23,8 +23,8 @@ def keep_known_language(spark, docs, sf_dir):
 
 
 def drop_exact_copies(spark, docs, sf_dir):
-    """One document of each group of equal texts: the smallest id."""
-    return exact.drop_copies(docs)
+    """One row of each group of equal texts: the smallest id."""
+    return exact.keep_one(docs)
 
 
 def drop_near_copies(spark, docs, sf_dir):

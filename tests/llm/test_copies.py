@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from tests.llm.helpers import WORDS, documents, least_linked, odd, shingles, small
 
-from shelfcast.llm import exact, jaccard, substrings
+from shelfcast.llm import exact, jaccard, stages, substrings
 from shelfcast.llm.components import components
 from shelfcast.llm.words import Words
 
@@ -150,3 +150,31 @@ def test_components_of_a_path_and_a_star(spark):
     found = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {i: 1 for i in range(1, 41)} | {i: 100 for i in range(100, 130)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_row_of_each_group_of_equal_texts(spark):
+    once, twice, none = "A text of its own.", "One text, twice.", "Nothing tells these apart."
+    docs = documents(spark, [
+        (1, once, "en", "a"), (4, twice, "en", "b"), (4, twice, "en", "b"), (4, twice.replace(" ", "  "), "en", "b"), (5, twice, "fr", "b"),
+        (None, none, "en", "a"), (None, none, "en", "a"), (None, none, "fr", "c"), (None, once, "en", "a"),
+    ])
+    left = stages.drop_exact_copies(spark, docs, None)
+    assert left.columns == docs.columns
+    rows = [(r.doc_id, _norm(r.text), r.lang) for r in left.collect()]
+    assert sorted((r[0] or 0, *r[1:]) for r in rows) == [(0, none, "en"), (1, once, "en"), (4, twice, "en")]
+    assert stages.drop_exact_copies(spark, docs.limit(0), None).count() == 0
+
+
+def test_one_row_of_each_group_of_near_copies(spark):
+    words = [f"w{i}" for i in range(120)]
+    near = [" ".join(words[:60] + [f"edit{n}"] + words[61:]) for n in range(3)]
+    lone = [" ".join(f"z{i}" for i in range(120)), " ".join(f"z{i}" for i in range(119)) + " end"]
+    docs = documents(spark, [
+        (7, near[0], "en", "a"), (7, near[0], "en", "a"), (7, near[1], "en", "a"), (9, near[2], "en", "a"), (9, near[2], "en", "a"),
+        (None, lone[0], "en", "a"), (None, lone[1], "en", "a"), (None, lone[0], "en", "a"), (20, "quite another text", "en", "a"),
+        (21, "", "en", "a"), (22, "", "en", "a"),
+    ])
+    left = stages.drop_near_copies(spark, docs, None)
+    assert left.columns == docs.columns
+    found = sorted((r.doc_id if r.doc_id is not None else -1) for r in left.collect())
+    assert found == [-1, 7, 20, 21, 22]
