@@ -211,7 +211,7 @@ def repeated_windows(docs, window=20, doc_id="doc_id", text="text"):
     smallest long for null) and `text_key` a hash of the text, for rows that share an id.
     """
     anchor_schema = pa.schema([("anchor", pa.int64()), ("n", pa.int64())])
-    place_schema = pa.schema([("anchor", pa.int64()), ("doc", pa.int64()), ("start", pa.int32())])
+    place_schema = pa.schema([("anchor", pa.int64()), ("doc", pa.int64()), ("key", pa.int64()), ("start", pa.int32())])
 
     def count(batches):
         for batch in batches:
@@ -222,13 +222,13 @@ def repeated_windows(docs, window=20, doc_id="doc_id", text="text"):
 
     def place(batches):
         for batch in batches:
-            texts, ids = texts_of(batch), batch.column("doc").to_numpy()
+            texts, ids, keys = texts_of(batch), batch.column("doc").to_numpy(), batch.column("text_key").to_numpy()
             for a, b in chunks(texts):
                 words = Words(texts[a:b])
                 at, _, anchors = _segments(words, window)
                 owner = words.owner[at] if len(at) else at
                 starts = (at - words.first[owner]).astype(np.int32)
-                yield batch_of(place_schema, anchors, ids[a:b][owner], starts)
+                yield batch_of(place_schema, anchors, ids[a:b][owner], keys[a:b][owner], starts)
 
     def send(batches):
         held = []
@@ -267,19 +267,20 @@ def repeated_windows(docs, window=20, doc_id="doc_id", text="text"):
         if found:
             yield batch_of(found_schema, *map(list, zip(*found)))
 
-    light = docs.select(_number(doc_id).alias("doc"), F.col(text).alias("text"))
+    light = docs.select(_number(doc_id).alias("doc"), _text_key(text).alias("text_key"), F.col(text).alias("text"))
     repeated = (
         light.select("text").mapInArrow(count, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
         .where("n > 1").select(F.col("anchor").alias("of"), (F.col("n") > HOT).alias("hot"))
     )
-    places = light.mapInArrow(place, "anchor long, doc long, start int")
+    places = light.mapInArrow(place, "anchor long, doc long, key long, start int")
+    # rows that repeat an id and a text have the same starts, each of them once in the set
     wanted = (
-        places.join(repeated, F.col("anchor") == F.col("of")).groupBy(F.col("doc").alias("__in_doc"))
-        .agg(F.collect_list(F.struct("start", "hot")).alias("__wanted"))
+        places.join(repeated, F.col("anchor") == F.col("of")).groupBy(F.col("doc").alias("__in_doc"), F.col("key").alias("__in_text"))
+        .agg(F.collect_set(F.struct("start", "hot")).alias("__wanted"))
     )
     # joined by the same rows and key as in remove_repeats, so that one exchange serves both
-    asked = docs.join(wanted, _number(doc_id) == F.col("__in_doc")).select(
-        F.col("__in_doc").alias("doc"), _text_key(text).alias("text_key"), F.col(text).alias("text"),
+    asked = docs.join(wanted, (_number(doc_id) == F.col("__in_doc")) & (_text_key(text) == F.col("__in_text"))).select(
+        F.col("__in_doc").alias("doc"), F.col("__in_text").alias("text_key"), F.col(text).alias("text"),
         F.col("__wanted").alias("wanted"),
     )
     sent = asked.mapInArrow(
@@ -324,13 +325,11 @@ def remove_repeats(docs, window=20, doc_id="doc_id", text="text"):
     kept = [c for c in docs.columns if c not in added]
     rows = docs.select(*kept)
     runs = (
-        repeated_windows(rows, window, doc_id, text).groupBy(F.col("doc").alias("__doc"))
-        .agg(F.collect_set(F.struct("text_key", "start", "windows")).alias("__runs"))
+        repeated_windows(rows, window, doc_id, text).groupBy(F.col("doc").alias("__doc"), F.col("text_key").alias("__text"))
+        .agg(F.collect_set(F.struct("start", "windows")).alias("__runs"))
     )
-    own = F.transform(
-        F.filter("__runs", lambda r: r["text_key"] == _text_key(text)), lambda r: F.struct(r["start"], r["windows"])
-    )
-    joined = rows.join(runs, _number(doc_id) == F.col("__doc"), "left").select(*kept, own.alias("__own"))
+    same = (_number(doc_id) == F.col("__doc")) & (_text_key(text) == F.col("__text"))
+    joined = rows.join(runs, same, "left").select(*kept, F.col("__runs").alias("__own"))
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     shape = (
         docs.select(*kept).schema.add("n_words", "long").add("n_removed", "long")

@@ -178,3 +178,14 @@ def test_one_row_of_each_group_of_near_copies(spark):
     assert left.columns == docs.columns
     found = sorted((r.doc_id if r.doc_id is not None else -1) for r in left.collect())
     assert found == [-1, 7, 20, 21, 22]
+
+
+def test_texts_of_one_id_keep_their_own_flags(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "HOT", 3)
+    hot, cold = (" ".join(f"{x}{i}" for i in range(24)) for x in "hc")
+    for shared in (7, None):
+        rows = [(i, hot, "en", "s") for i in range(100, 105)] + [(200, cold, "en", "s")]
+        docs = documents(spark, rows + [(shared, hot, "en", "s"), (shared, cold, "en", "s")])
+        gone = {(r.doc_id, r.kept_text.strip()[:1]): r.n_removed for r in substrings.remove_repeats(docs).collect()}
+        assert {k[0]: n for k, n in gone.items() if k[0] != shared} == {i: 24 for i in (100, 101, 102, 103, 104, 200)}
+        assert [n for k, n in gone.items() if k[0] == shared] == [0, 0]
