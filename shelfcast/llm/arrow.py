@@ -41,3 +41,23 @@ def code_points(text):
 def id_remainder(column, divisor):
     """crc32 of the id written as text, modulo `divisor`; null for a null id."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
+
+
+def quoted(name):
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def carried(frame, **inner):
+    """The frame's columns as one struct `row`, next to inner columns that cannot clash with them."""
+    return frame.select(F.struct(*map(quoted, frame.columns)).alias("row"), *[c.alias(n) for n, c in inner.items()])
+
+
+def unpacked(frame, columns, added, without=()):
+    """The carried columns again, with `added` (name or {name: column}) after them.
+
+    Carried columns of an added name, in whatever case, are replaced; those in `without` go.
+    """
+    added = added if isinstance(added, dict) else {n: F.col(n) for n in added}
+    gone = {n.lower() for n in (*added, *without)}
+    kept = [F.col("row").getField(c).alias(c) for c in columns if c.lower() not in gone]
+    return frame.select(*kept, *[c.alias(n) for n, c in added.items()])

@@ -4,7 +4,21 @@ from functools import wraps
 
 from pyspark.sql import functions as F
 
-from shelfcast.llm import exact, jaccard, language, mixing, packing, pivots, quality, substrings, token_count, url_rules
+from shelfcast.llm import (
+    collocations,
+    compression,
+    exact,
+    jaccard,
+    language,
+    mixing,
+    packing,
+    pivots,
+    quality,
+    resampling,
+    substrings,
+    token_count,
+    url_rules,
+)
 from shelfcast.llm.arrow import id_remainder
 from shelfcast.session import cut_lineage, ship_package
 
@@ -197,3 +211,58 @@ FROM n WINDOW g AS (PARTITION BY norm)
 def op10_exact_dedup(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return exact.mark_copies(docs).drop("text")
+
+
+@query("op11_collocations", """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, doc_id,
+    unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                 '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL
+), split AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces
+), runs AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split WHERE len(w) > 0
+), sized AS (
+  SELECT lang, w, i, unnest([1, 2, 3, 4]) AS k FROM runs
+), counted AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM sized WHERE i + k - 1 <= len(w) GROUP BY ALL
+), totals AS (SELECT lang, sum(f) AS n FROM counted WHERE k = 1 GROUP BY lang
+), often AS (SELECT *, string_split(phrase, ' ') AS w FROM counted WHERE f >= 30
+), cuts AS (
+  SELECT lang, phrase, f AS a, w, k, unnest(range(1, k)) AS cut FROM often WHERE k > 1
+), parts AS (
+  SELECT c.*, l.f AS l, r.f AS r, CAST(CAST(2000000 AS HUGEINT) * a // (l.f + r.f) AS BIGINT) AS score
+  FROM cuts c JOIN often l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.cut], ' ')
+    JOIN often r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.cut + 1:c.k], ' ')
+), best AS (
+  SELECT * FROM parts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inner_of AS (
+  SELECT o.lang, o.f, s.size, unnest(range(1, o.k - s.size + 2)) AS i, o.w
+  FROM often o, (VALUES (2), (3)) s(size) WHERE s.size < o.k
+), longer AS (
+  SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(f) AS f FROM inner_of GROUP BY ALL
+)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank,
+  b.phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM best b JOIN totals t ON t.lang = b.lang LEFT JOIN longer g ON g.lang = b.lang AND g.phrase = b.phrase
+WHERE g.f IS NULL OR 100 * g.f < 80 * a
+QUALIFY row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) <= 2000
+""")
+def op11_collocations(spark, folder):
+    docs = table(spark, folder, "documents").select("lang", "text")
+    return collocations.mine(docs, least=30, longest=4, subsumed_percent=80, top=2000)
+
+
+@query("op12_quality_rules")
+def op12_quality_rules(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return compression.judge(docs).drop("text")
+
+
+@query("op13_resampling")
+def op13_resampling(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    target = table(spark, folder, "benchmark").select("text")
+    return resampling.resample(docs, target, percent=10, min_words=20, buckets=10_000, seed=2024, with_text=False)
