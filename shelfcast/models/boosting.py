@@ -1,9 +1,7 @@
-"""Boosted trees for the mean and for quantiles, every model of a job in one pass.
+"""Boosted trees for the mean and for quantiles: every model and head of a job grows together.
 
-The rows of each model (a category, a fold, ...) are grouped by its key and head, and a task
-grows all trees of one model on histograms of binned features. A model is fitted on at most
-`fit_rows` rows, chosen by a hash of the row; up to that many it sees every row. Scoring is
-one vectorised pass over the rows, whatever the number of trees and models.
+Fitting works on all rows by histograms that Spark adds up (see growing); scoring is one
+vectorised pass over the rows, whatever the number of trees and models.
 """
 
 from dataclasses import dataclass
@@ -13,10 +11,8 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from shelfcast import constants as K
+from shelfcast.models.growing import TASK_ROWS, feature_array, grow, matrix
 
-MAX_BINS = 64
-#: Rows that a model is fitted on at most; its task holds that many rows of features.
-FIT_ROWS = 500_000
 POINT = "point"
 TREES = (
     "head string, start double, rate double, rounds int, training_rows long, "
@@ -51,134 +47,25 @@ class Trees:
             node = np.where(split < 0, node, 2 * node + 2 - below)
 
 
-def _edges(matrix):
-    """Upper bin edges per feature, at quantiles of its values."""
-    shares = np.linspace(0, 1, MAX_BINS + 1)[1:-1]
-    return [np.unique(np.quantile(column, shares, method="lower")) for column in matrix.T]
-
-
-def _best_splits(codes, node, width, gradient, min_leaf):
-    """Best (gain, feature, bin) of every node of a level, from histograms of the gradient."""
-    features = codes.shape[1]
-    at = codes + (node * (features * MAX_BINS))[:, None]
-    size = width * features * MAX_BINS
-    shape = (width, features, MAX_BINS)
-    n = np.bincount(at.ravel(), minlength=size).reshape(shape).cumsum(axis=2)
-    g = np.bincount(at.ravel(), np.repeat(gradient, features), minlength=size).reshape(shape).cumsum(axis=2)
-    all_n, all_g = n[:, :, -1:], g[:, :, -1:]
-    right_n, right_g = all_n - n, all_g - g
-    usable = (n >= min_leaf) & (right_n >= min_leaf)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain = np.where(usable, g * g / n + right_g * right_g / right_n - all_g * all_g / all_n, -1.0)
-    flat = gain.reshape(width, -1)
-    best = flat.argmax(axis=1)
-    return flat[np.arange(width), best], best // MAX_BINS, best % MAX_BINS
-
-
-def _leaf_values(node, residual, size, quantile):
-    """Mean, or lower quantile, of the residuals in each node."""
-    if quantile is None:
-        n = np.bincount(node, minlength=size)
-        return np.bincount(node, residual, minlength=size) / np.maximum(n, 1)
-    order = np.lexsort((residual, node))
-    ends = np.cumsum(np.bincount(node, minlength=size))
-    starts = np.concatenate([[0], ends[:-1]])
-    rank = np.clip(np.ceil(quantile * (ends - starts)).astype(np.int64) - 1, 0, None)
-    held = np.append(residual[order], 0.0)
-    return np.where(ends > starts, held[np.minimum(starts + rank, len(residual))], 0.0)
-
-
-def grow(matrix, target, quantile=None, rounds=K.BOOSTING["rounds"], depth=K.BOOSTING["depth"],
-         rate=K.BOOSTING["rate"], min_leaf=K.BOOSTING["min_leaf"]):
-    """Boosted trees on a matrix: squared error, or pinball loss of one quantile.
-
-    A round fits a tree to the loss gradient and sets each leaf to the mean, or the quantile,
-    of its residuals.
-    """
-    edges = _edges(matrix)
-    offset = np.arange(matrix.shape[1]) * MAX_BINS
-    codes = np.column_stack([np.searchsorted(e, c, "left") for e, c in zip(edges, matrix.T)]) + offset
-    cuts = np.full((matrix.shape[1], MAX_BINS), np.inf)
-    for i, e in enumerate(edges):
-        cuts[i, :len(e)] = e
-    nodes = 2 ** (depth + 1) - 1
-    feature = np.full((rounds, nodes), -1, dtype=np.int32)
-    threshold, value = np.zeros((rounds, nodes)), np.zeros((rounds, nodes))
-    start = target.mean() if quantile is None else np.quantile(target, quantile, method="inverted_cdf")
-    estimate = np.full(len(target), float(start))
-    for tree in range(rounds):
-        residual = target - estimate
-        gradient = residual if quantile is None else quantile - (residual < 0)
-        node, growing = np.zeros(len(target), dtype=np.int64), np.ones(len(target), dtype=bool)
-        for level in range(depth):
-            first, width = 2**level - 1, 2**level
-            gain, chosen, bins = _best_splits(
-                codes[growing], node[growing] - first, width, gradient[growing], min_leaf
-            )
-            split = gain > 1e-12
-            if not split.any():
-                break
-            feature[tree, first:first + width][split] = chosen[split]
-            threshold[tree, first:first + width][split] = cuts[chosen[split], bins[split]]
-            growing &= feature[tree, node] >= 0
-            own = node[growing]
-            below = matrix[growing, feature[tree, own]] <= threshold[tree, own]
-            node[growing] = 2 * own + 2 - below
-        value[tree] = _leaf_values(node, residual, nodes, quantile)
-        estimate += rate * value[tree, node]
-    return Trees(float(start), rate, feature, threshold, value)
-
-
-def _feature_array(frame, features):
-    """The features as one array; what the frame lacks, and nulls, count as 0."""
-    return F.array(*[
-        F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if c in frame.columns else F.lit(0.0) for c in features
-    ])
-
-
-def _matrix(column, width):
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
-
-
-def fit_trees(frame, features, keys, heads, fit_rows=FIT_ROWS, **settings):
-    """{key values: {head: (Trees, rows)}} for every key in `frame` and every head.
-
-    `heads` maps a head's name to its quantile, None for the mean. The dictionary holds
-    rounds x nodes numbers per model and nothing that grows with the rows.
+def fit_trees(frame, features, keys, heads, rounds=K.BOOSTING["rounds"], depth=K.BOOSTING["depth"],
+              rate=K.BOOSTING["rate"], min_leaf=K.BOOSTING["min_leaf"], task_rows=TASK_ROWS):
+    """{key values: {head: (Trees, rows fitted)}} for every key in `frame` and every head.
+
+    `heads` maps a head's name to its quantile, None for the mean. Every row with a target is
+    fitted on. The dictionary holds rounds x nodes numbers per model and nothing that grows
+    with the rows.
     """
-    keys, features = list(keys), list(features)
-    kinds = {k: frame.schema[k].dataType.simpleString() for k in keys}
-    rows = frame.select(*keys, "target", _feature_array(frame, features).alias("_x")).where("target is not null")
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if keys else rows.agg(F.count(F.lit(1)).alias("_n"))
-    counted = rows.join(counts, keys) if keys else rows.join(counts)
-    chosen = counted.where(F.pmod(F.xxhash64("target", "_x"), F.col("_n")) < fit_rows)
-    names = F.explode(F.array(*[F.lit(h) for h in heads])).alias("_head")
-    dealt = chosen.select(*keys, "target", "_x", "_n", names)
-    # head, start, ..., value stand for one model each
-    kind = ", ".join([*[f"{k} {t}" for k, t in kinds.items()], TREES])
-    empty = frame.sparkSession.createDataFrame([], kind).schema
-
-    def fit(group):
-        x = _matrix(group.column("_x"), len(features))
-        y = group.column("target").to_numpy()
-        order = np.lexsort((*x.T, y))  # the same sums however the rows arrived
-        head = group.column("_head")[0].as_py()
-        trees = grow(np.ascontiguousarray(x[order]), y[order].astype(float), heads[head], **settings)
-        row = {
-            **{k: group.column(k)[0].as_py() for k in keys}, "head": head, "start": trees.start,
-            "rate": trees.rate, "rounds": len(trees.feature), "training_rows": group.column("_n")[0].as_py(),
-            "feature": trees.feature.ravel().tolist(), "threshold": trees.threshold.ravel().tolist(),
-            "value": trees.value.ravel().tolist(),
-        }
-        return pa.table({n: pa.array([row[n]], arrow_types[n]) for n in arrow_types})
-
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow_types = {f.name: f.type for f in to_arrow_schema(empty)}
+    rows = frame.select(*keys, F.col("target").cast("double").alias("target"), feature_array(frame, features).alias("_x"))
     found = {}
-    for r in dealt.groupBy(*keys, "_head").applyInArrow(fit, kind).collect():
-        found.setdefault(tuple(r[k] for k in keys), {})[r["head"]] = (_trees(r), r["training_rows"])
+    for key, name, head, grown, edges, n in grow(
+        rows.where("target is not null"), keys, list(features), heads, rounds, depth, rate, min_leaf, task_rows
+    ):
+        feature = np.stack([t.feature for t in grown])
+        threshold = np.zeros(feature.shape)
+        for place in zip(*np.nonzero(feature >= 0)):
+            threshold[place] = edges[feature[place]][grown[place[0]].bin[place[1]]]
+        trees = Trees(head.start, rate, feature, threshold, np.stack([t.value for t in grown]) / rate)
+        found.setdefault(key, {})[name] = (trees, n)
     return found
 
 
@@ -262,11 +149,11 @@ def predict_by_key(frame, forecasters, keys):
     kept = [c for c in frame.columns if c not in added]
     names = sorted({c for f in forecasters.values() for c in f.features})
     columns = {k: [names.index(c) for c in f.features] for k, f in forecasters.items()}
-    asked = frame.select(*kept, _feature_array(frame, names).alias("_x"))
+    asked = frame.select(*kept, feature_array(frame, names).alias("_x"))
 
     def score(batches):
         for batch in batches:
-            x = _matrix(batch.column("_x"), len(names)) if names else np.zeros((batch.num_rows, 0))
+            x = matrix(batch.column("_x"), len(names)) if names else np.zeros((batch.num_rows, 0))
             owner = list(zip(*(batch.column(k).to_pylist() for k in keys))) if keys else [()] * batch.num_rows
             rows_of = {}
             for i, key in enumerate(owner):
@@ -289,7 +176,7 @@ def fit_forecasters(frame, features, keys=(), interval="quantile", **settings):
     """{key values: BoostedForecaster}: point models with the kind of interval asked for.
 
     `interval` is "quantile" (two heads), "residual" (quantiles of the residuals as offsets)
-    or "none". All models of all keys grow in one job. `frame` holds the keys, the features and `target`.
+    or "none". All models of all keys grow together, pass by pass. `frame` holds the keys, the features and `target`.
     """
     keys = list(keys)
     heads = {POINT: None}

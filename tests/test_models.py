@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast import constants as K
-from shelfcast.models import boosting, folds, horizon, ridge
+from shelfcast.models import boosting, folds, growing, horizon, ridge
 from shelfcast.models.clustering import ClusterModel, fit_clustering
 from shelfcast.operators import behaviour
 from shelfcast.operators.features import build_training_features
@@ -74,21 +74,96 @@ def test_boosted_forecaster_brackets_and_reloads(spark, train):
         assert abs(scored.agg(F.sum(c)).first()[0] - again.agg(F.sum(c)).first()[0]) < 1e-6
 
 
-def test_first_split_is_the_best_of_all(spark):
+def grown_by_hand(x, y, quantile, rounds, depth, rate, min_leaf):
+    """Fitted values of boosted trees, every cut between distinct values tried on the raw rows."""
+    estimate = np.full(len(y), y.mean() if quantile is None else np.quantile(y, quantile, method="inverted_cdf"))
+    for _ in range(rounds):
+        residual = y - estimate
+        gradient = residual if quantile is None else quantile - (residual < 0)
+        leaves = [np.arange(len(y))]
+        for _ in range(depth):
+            split = []
+            for rows in leaves:
+                best, found, g = 1e-12, None, gradient[rows]
+                for f in range(x.shape[1]):
+                    for cut in np.unique(x[rows, f])[:-1]:
+                        left = x[rows, f] <= cut
+                        if min(left.sum(), (~left).sum()) >= min_leaf:
+                            gain = g[left].sum() ** 2 / left.sum() + g[~left].sum() ** 2 / (~left).sum() - g.sum() ** 2 / len(g)
+                            if gain > best + 1e-9:
+                                best, found = gain, left
+                split += [rows] if found is None else [rows[found], rows[~found]]
+            leaves = split
+        for rows in leaves:
+            own = residual[rows]
+            estimate[rows] += rate * (own.mean() if quantile is None else np.quantile(own, quantile, method="inverted_cdf"))
+    return estimate
+
+
+@pytest.fixture(scope="module")
+def drawn(spark):
     random = np.random.default_rng(4)
     x = random.integers(0, 12, (400, 3)).astype(float)
     y = (x[:, 1] > 6) * 5.0 + x[:, 0] / 10 + random.normal(size=400) / 10
-    trees = boosting.grow(x, y, rounds=1, depth=1, rate=1.0, min_leaf=20)
-    best = {}
-    for f in range(3):
-        for cut in np.unique(x[:, f]):
-            left = x[:, f] <= cut
-            if 20 <= left.sum() <= 380:
-                best[f, cut] = ((y[left] - y[left].mean()) ** 2).sum() + ((y[~left] - y[~left].mean()) ** 2).sum()
-    f, cut = min(best, key=best.get)
-    assert (trees.feature[0, 0], trees.threshold[0, 0]) == (f, cut)
-    left = x[:, f] <= cut
-    assert np.allclose(trees.score(x), np.where(left, y[left].mean(), y[~left].mean()))
+    frame = spark.createDataFrame([(int(i % 2), *map(float, r), float(t)) for i, (r, t) in enumerate(zip(x, y))],
+                                  "k int, a double, b double, c double, target double")
+    return x, y, frame.repartition(5).persist()
+
+
+HEADS = {"point": None, "lower": 0.1, "upper": 0.9}
+SMALL = {"rounds": 10, "depth": 3, "rate": 0.3, "min_leaf": 15}
+
+
+@pytest.mark.parametrize("task_rows", [0, 10**6])
+def test_trees_equal_trees_grown_by_hand(spark, drawn, task_rows):
+    x, y, frame = drawn
+    found = boosting.fit_trees(frame, ["a", "b", "c"], ["k"], HEADS, task_rows=task_rows, **SMALL)
+    assert set(found) == {(0,), (1,)}
+    for k in (0, 1):
+        own = np.arange(400) % 2 == k
+        for name, quantile in HEADS.items():
+            trees, rows = found[(k,)][name]
+            assert rows == 200
+            assert np.allclose(trees.score(x[own]), grown_by_hand(x[own], y[own], quantile, **SMALL), atol=1e-5)
+
+
+def test_passes_and_tasks_give_the_same_trees_however_rows_are_dealt(spark, train, monkeypatch):
+    settings = {"rounds": 11, "depth": 4}
+    alone = boosting.fit_trees(train, K.FEATURES, ["category"], HEADS, **settings)
+    monkeypatch.setattr(growing, "DIRECT", 3)
+    monkeypatch.setattr(growing, "FAN_IN", 4)
+    dealt = boosting.fit_trees(train.repartition(13), K.FEATURES, ["category"], HEADS, task_rows=1100, **settings)
+    sizes = {r["category"]: r["count"] for r in train.groupBy("category").count().collect()}
+    assert min(sizes.values()) <= 1100 < max(sizes.values())  # some by tasks, some by passes
+    for (category,), heads in alone.items():
+        for name, (trees, rows) in heads.items():
+            other, other_rows = dealt[(category,)][name]
+            assert rows == other_rows == sizes[category]
+            for part in ("feature", "threshold", "value"):
+                assert np.array_equal(getattr(trees, part), getattr(other, part)), (category, name, part)
+
+
+def test_residual_summaries_keep_ranks():
+    random = np.random.default_rng(8)
+    values = random.normal(size=300_000)
+    parts = [growing.compressed(np.stack([v, np.ones(len(v))])) for v in np.array_split(values, 90)]
+    for _ in range(2):  # two levels of adding
+        parts = [growing.compressed(np.concatenate(parts[i:i + 10], axis=1)) for i in range(0, len(parts), 10)]
+    whole, ordered = np.concatenate(parts, axis=1), np.sort(values)
+    for q in (0.01, 0.1, 0.5, 0.9, 0.99):
+        rank = np.searchsorted(ordered, growing.lower_quantile(whole, q)) / len(values)
+        assert abs(rank - q) < 0.002
+    few = np.array([3.0, 1.0, 2.0, 2.0, 5.0])
+    sample = growing.compressed(np.stack([few, np.ones(5)]))
+    for q in (0.1, 0.2, 0.5, 0.81, 0.9):
+        assert growing.lower_quantile(sample, q) == np.quantile(few, q, method="inverted_cdf")
+
+
+def test_rows_without_a_target_or_of_one_value_are_no_trouble(spark):
+    frame = spark.createDataFrame([(1.0, 4.0), (2.0, 4.0), (3.0, None)], "x double, target double")
+    (trees, rows), = boosting.fit_trees(frame, ["x", "missing"], [], {"point": None}, rounds=2)[()].values()
+    assert rows == 2 and np.allclose(trees.score(np.array([[9.0, 0.0]])), 4.0)
+    assert boosting.fit_trees(frame.limit(0), ["x"], [], {"point": None}) == {}
 
 
 def test_models_of_all_keys_grow_in_one_job_and_stay_apart(spark, train):
@@ -101,12 +176,6 @@ def test_models_of_all_keys_grow_in_one_job_and_stay_apart(spark, train):
     assert scored.filter("category <> 'Juice' AND point IS NOT NULL").count() == 0
 
 
-def test_bounded_fit_takes_a_share_of_each_key(spark):
-    frame = spark.range(4000).selectExpr("id % 2 AS k", "CAST(id AS DOUBLE) AS x", "CAST(id AS DOUBLE) AS target")
-    found = boosting.fit_trees(frame, ["x"], ["k"], {"point": None}, fit_rows=500, rounds=1)
-    assert {key: rows for key, heads in found.items() for _, rows in heads.values()} == {(0,): 2000, (1,): 2000}
-
-
 def brute_horizon(history, weights, weeks):
     """Step-by-step forecast of one series in plain Python."""
     rows = [dict(r) for r in history]
