@@ -135,17 +135,21 @@ def _has(found, at):
 
 
 def _stripe_batch(lang, words, hashes, prefix, following, n, segments):
-    """Rows of (prefix, segment) from entries: `prefix` holds one array of word numbers a place."""
+    """Rows of (prefix, segment) from entries in the order of their prefixes.
+
+    `prefix` holds one array of word numbers for each place of the prefix.
+    """
+    changes = np.zeros(len(following), dtype=bool)
+    for column in prefix:
+        changes[1:] |= column[1:] != column[:-1]
     segment = (hashes[following] % np.uint64(segments)).astype(np.int64)
-    order = np.lexsort((segment, *prefix[::-1]))
-    keys = [k[order] for k in (*prefix, segment)]
-    first = np.ones(len(order), dtype=bool)
-    if len(order):
-        first[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
-    starts = np.flatnonzero(first)
+    key = np.cumsum(changes) * segments + segment
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
     offsets = pa.array(np.append(starts, len(order)), pa.int32())
     texts = pa.array(words, pa.binary()).cast(pa.string())
-    parts = [texts.take(pa.array(k[starts])) for k in keys[:-1]]
+    parts = [texts.take(pa.array(column[order[starts]])) for column in prefix]
     if not parts:
         text = pa.array([""] * len(starts), pa.string())
     else:
@@ -156,29 +160,43 @@ def _stripe_batch(lang, words, hashes, prefix, following, n, segments):
     ]
     named = pa.array([lang] * len(starts), pa.string())
     return pa.RecordBatch.from_arrays(
-        [named, text, pa.array(keys[-1][starts], pa.int32()), *lists],
+        [named, text, pa.array(segment[order[starts]], pa.int32()), *lists],
         names=["lang", "prefix", "segment", "next", "n"],
     )
 
 
-def _counted(columns):
-    """Distinct rows of word numbers with their counts."""
+def _counted(columns, known):
+    """Distinct rows of word numbers (below `known`), in order, with their counts.
+
+    Numbers are put side by side into one integer; where they do not fit, the leading ones are
+    first replaced by the place of their combination among all.
+    """
+    bits = max(1, (int(known) - 1).bit_length())
+    fit = 63 // bits
+    if len(columns) > fit:
+        packed = _side_by_side(columns[:fit], bits)
+        lead = np.unique(packed)
+        (place, *rest), n = _counted([np.searchsorted(lead, packed), *columns[fit:]], max(known, len(lead)))
+        return [*_apart(lead[place], bits, fit), *rest], n
+    key = np.sort(_side_by_side(columns, bits))
+    starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    return _apart(key[starts], bits, len(columns)), np.diff(np.append(starts, len(key)))
+
+
+def _side_by_side(columns, bits):
     key = columns[0]
     for column in columns[1:]:
-        key = np.unique(key, return_inverse=True)[1] * WINDOW_SPAN + column
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-    n = np.diff(np.append(starts, len(key)))
-    return [c[order[starts]] for c in columns], n
+        key = (key << bits) | column
+    return key
 
 
-#: More than any word number.
-WINDOW_SPAN = 2**32
+def _apart(key, bits, size):
+    mask = (1 << bits) - 1
+    return [(key >> (bits * i)) & mask for i in range(size - 1, -1, -1)]
 
 
-def _stripes(lang, window, length, found, bits):
-    """Stripes of the prefixes of `length` words over a window, a bounded number of starts at a time."""
+def _stripes(lang, window, lengths, found, bits):
+    """Stripes of the prefixes of given lengths over a window, a bounded number of starts at a time."""
     ids = window.ids()
     at, words = window.words()
     dense = np.full(max(at, default=-1) + 2, -1, dtype=np.int64)  # breaks took numbers as well
@@ -186,28 +204,29 @@ def _stripes(lang, window, length, found, bits):
     ids = np.where(ids < 0, -1, dense[ids])
     hashes = _hashes(lang, words)
     for low in range(0, len(ids) - LONGEST, WINDOW_WORDS):
-        block = ids[low:min(low + WINDOW_WORDS, len(ids) - LONGEST) + length]
-        starts = len(block) - length
-        columns = [block[i:i + starts] for i in range(length + 1)]
-        whole = np.logical_and.reduce([c >= 0 for c in columns])
-        if found is not None:
-            spots = np.flatnonzero(whole)
-            for part in (columns[:-1], columns[1:]):
-                likely = _has(found, _bits_of([hashes[c[spots]] for c in part], bits))
-                spots = spots[likely]
-            whole = np.zeros(starts, dtype=bool)
-            whole[spots] = True
-        columns, n = _counted([c[whole] for c in columns])
-        if len(n):
-            segments = SEGMENTS[min(length, len(SEGMENTS) - 1)]
-            yield _stripe_batch(lang, words, hashes, columns[:-1], columns[-1], n, segments)
-        if length == 0:
-            # the empty word, which no text has, counts all words
-            yield _stripe_batch(lang, [b""], np.zeros(1, np.uint64), [], np.zeros(1, np.int64), n.sum(keepdims=True), 1)
-
-
-def stripes(docs, length, found=None, bits=BITS):
-    """Partial stripes of all prefixes of `length` words; `docs` has lang and text."""
+        for length in lengths:
+            block = ids[low:min(low + WINDOW_WORDS, len(ids) - LONGEST) + length]
+            starts = len(block) - length
+            columns = [block[i:i + starts] for i in range(length + 1)]
+            spots = np.flatnonzero(np.logical_and.reduce([c >= 0 for c in columns]))
+            if found is not None:
+                for part in (columns[:-1], columns[1:]):
+                    spots = spots[_has(found, _bits_of([hashes[c[spots]] for c in part], bits))]
+            columns, n = _counted([c[spots] for c in columns], len(words))
+            if len(n):
+                segments = SEGMENTS[min(length, len(SEGMENTS) - 1)]
+                yield _stripe_batch(lang, words, hashes, columns[:-1], columns[-1], n, segments)
+            if length == 0:
+                # the empty word, which no text has, counts all words
+                yield _stripe_batch(lang, [b""], np.zeros(1, np.uint64), [], np.zeros(1, np.int64), n.sum(keepdims=True), 1)
+
+
+def stripes(docs, lengths, found=None, bits=BITS):
+    """Partial stripes of all prefixes of the given lengths; `docs` has lang and text.
+
+    With `found`, the map of frequent phrases of one such length, only where both inner phrases
+    may be frequent.
+    """
 
     def run(batches):
         windows, held = {}, 0
@@ -216,16 +235,16 @@ def stripes(docs, length, found=None, bits=BITS):
                 held += windows.setdefault(lang, _Window()).add(text.encode("utf-8", "surrogatepass").lower())
                 if held >= WINDOW_WORDS:
                     for full in windows:
-                        yield from _stripes(full, windows[full], length, found, bits)
+                        yield from _stripes(full, windows[full], lengths, found, bits)
                     windows, held = {}, 0
         for full in windows:
-            yield from _stripes(full, windows[full], length, found, bits)
+            yield from _stripes(full, windows[full], lengths, found, bits)
 
     return docs.mapInArrow(run, STRIPES)
 
 
 def merged(partial, least):
-    """(lang, phrase, a) of stripe entries with at least `least` occurrences, added up elementwise.
+    """(lang, phrase, words, a) of stripe entries with at least `least` occurrences, added up elementwise.
 
     Segments of stripes meet in one exchange; their entries are then added up where they are.
     """
@@ -233,27 +252,27 @@ def merged(partial, least):
     entries = met.select("lang", "prefix", "segment", F.explode(F.arrays_zip("next", "n")).alias("e"))
     sums = entries.groupBy("lang", "prefix", "segment", F.col("e.next").alias("next")).agg(F.sum("e.n").alias("a"))
     phrase = F.when(F.col("prefix") == "", F.col("next")).otherwise(F.concat_ws(" ", "prefix", "next"))
-    return sums.where((F.col("a") >= least) | (F.col("next") == "")).select("lang", phrase.alias("phrase"), "a")
+    words = F.when(F.col("next") == "", 0).when(F.col("prefix") == "", 1).otherwise(F.size(F.split("prefix", " ")) + 1)
+    return sums.where((F.col("a") >= least) | (F.col("next") == "")).select(
+        "lang", phrase.alias("phrase"), words.alias("words"), "a"
+    )
 
 
 def frequent_phrases(docs, least=30, longest=LONGEST, lang="lang", text="text", bits=BITS):
     """(lang, phrase, words, a) of all phrases of up to `longest` words found `least` times or more.
 
-    The empty phrase of a language has the number of its words.
+    The empty phrase of a language has the number of its words. Words and pairs are counted in one
+    pass over the texts, each longer length in one more.
     """
     asked = docs.select(F.coalesce(quoted(lang), F.lit(UNKNOWN)).alias("lang"), quoted(text).alias("text"))
-    levels, found = [], None
-    for length in range(longest):
-        level = cut_lineage(merged(stripes(asked, length, found, bits), least))
-        words = F.when(F.col("phrase") == "", 0).otherwise(length + 1)
-        levels.append(level.withColumn("words", words))
-        if 1 <= length < longest - 1:
-            found = _frequent_bits(level, length + 1, bits)
-            if not found.any():
-                break
-    out = levels[0]
-    for level in levels[1:]:
-        out = out.unionByName(level)
+    out = cut_lineage(merged(stripes(asked, (0, 1)[:longest]), least))
+    newest = out.where("words = 2")
+    for length in range(2, longest):
+        found = _frequent_bits(newest, length, bits)
+        if not found.any():
+            break
+        newest = cut_lineage(merged(stripes(asked, (length,), found, bits), least))
+        out = out.unionByName(newest)
     return out
 
 
@@ -307,7 +326,7 @@ def mine(docs, least=30, longest=LONGEST, subsumed_percent=80, top=2000, lang="l
     `a`, `l` and `r` are the frequencies of the phrase and of the parts at its weakest cut, n the
     number of words of the language.
     """
-    phrases = cut_lineage(frequent_phrases(docs, least, longest, lang, text, bits))
+    phrases = frequent_phrases(docs, least, longest, lang, text, bits)
     found = scored(phrases, longest, subsumed_percent)
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     salted = found.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))

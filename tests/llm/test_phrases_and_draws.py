@@ -74,7 +74,7 @@ def test_phrases_of_random_words_windows_and_slices(spark, monkeypatch):
     window = collocations._Window()
     window.add(text.encode().lower())
     got = Counter()
-    for batch in collocations._stripes("en", window, 2, None, 64):
+    for batch in collocations._stripes("en", window, (2,), None, 64):
         for r in batch.to_pylist():
             for following, n in zip(r["next"], r["n"]):
                 got[f"{r['prefix']} {following}"] += n
@@ -85,6 +85,21 @@ def test_phrases_of_random_words_windows_and_slices(spark, monkeypatch):
     assert got == want
 
 
+def test_counted_rows_of_numbers_of_any_width():
+    import numpy as np
+
+    random = np.random.default_rng(2)
+    for known in (3, 2**20, 2**31):
+        for size in (1, 2, 3, 4):
+            pool = random.integers(0, known, (40, size))
+            rows = pool[random.integers(0, 40, 500)]
+            columns, n = collocations._counted(list(rows.T), known)
+            got = list(zip(*(c.tolist() for c in columns)))
+            assert got == sorted(got) and dict(zip(got, n.tolist())) == Counter(map(tuple, rows.tolist()))
+    columns, n = collocations._counted([np.zeros(0, np.int64)] * 3, 5)
+    assert len(n) == 0 and len(columns) == 3
+
+
 def test_map_of_frequent_phrases_is_the_same_in_tasks_and_in_spark(spark):
     words = ["a", "été", "zz z".replace(" ", " ")]
     hashes = collocations._hashes("en", [w.encode() for w in words])
