@@ -37,13 +37,15 @@ def checked_table(name):
 def input_order(frame):
     """Order of the rows in the input: file, place of the block in it, row of the block.
 
-    Spark packs files by size, so the partition alone is not the file order. A frame that
-    was not read from files has the order of its rows.
+    Spark packs files by size, so the partition alone is not the file order. A frame that is
+    not read from files, or has lost their place on its way (through a join, an aggregation or
+    an Arrow step), has the order of its rows.
     """
-    offered = frame._jdf.queryExecution().analyzed().metadataOutput().toString()
-    place = []
-    if "_metadata#" in offered:
-        place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")]
+    place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")]
+    try:
+        frame.select(*place)
+    except AnalysisException:
+        place = []
     return F.struct(*place, F.monotonically_increasing_id().alias("row"))
 
 

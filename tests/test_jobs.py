@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 
 from shelfcast import constants as K
 from shelfcast.functions import scalars as S
+from shelfcast.models import boosting, ridge
+from shelfcast.operators.features import build_training_features
 from shelfcast.plans import jobs
 from shelfcast.session import scratch_path
 from shelfcast.sources import loads
@@ -97,3 +99,28 @@ def test_retraining_rejects_promotes_and_reports_drift(spark, small):
     kind = {r["category"]: r["kind"] for r in catalog.latest().collect()}
     assert kind["Milk"] == "ridge" and catalog.get("forecaster_juice")["version"] == 3
     panel.unpersist()
+
+
+def test_batch_from_a_catalog_of_both_kinds(spark, small):
+    """Stored forecasts equal those of the models by themselves and carry their versions."""
+    root = scratch_path(spark, "batch")
+    catalog = ModelCatalog(spark, f"{root}/models")
+    train = build_training_features(small.weekly_categorised, carry=("category",)).persist()
+    linear = ridge.fit_ridge(train, ("category",), K.FEATURES).persist()
+    boosted = boosting.fit_forecasters(train.filter("category = 'Milk'"), K.FEATURES, ("category",), rounds=5)
+    for category in ("Milk", "Juice"):
+        catalog.save_ridge(linear.filter(F.col("category") == category), S.model_name_text(category),
+                           metrics={}, features=K.FEATURES, category=category)
+    catalog.save_boosted(boosted[("Milk",)], "forecaster_milk", metrics={}, features=K.FEATURES, category="Milk")
+    small.daily.write.parquet(f"{root}/input")
+    assert jobs.run_batch_from_catalog(spark, root, f"{root}/input", small.weekly, catalog, 2, "one") == "one"
+    stored = loads.open_table(spark, root, "batch_predictions").read().persist()
+    versions = {r["model_version"] for r in stored.select("model_version").distinct().collect()}
+    assert versions == {"forecaster_milk_v2", "forecaster_juice_v1"}
+    keys = ("sku", "channel", "region", "week")
+    for category, model in (("Milk", {"Milk": (boosted[("Milk",)], "")}), ("Juice", linear)):
+        want = jobs.score_batch(small.daily, small.weekly, model, 2).filter(F.col("category") == category)
+        both = want.join(stored, list(keys))
+        gap = F.max(F.abs(F.col("point") - F.col("predicted_units").cast("double")))
+        assert both.count() == want.count() > 0 and both.agg(gap).first()[0] < 1e-3
+    train.unpersist()

@@ -157,3 +157,17 @@ def test_catalog_versions_are_numbers(spark):
     assert catalog.get("m", "9")["version"] == 9
     assert catalog.latest_baselines().first()["mean"] == 9.0
     assert catalog.incumbents().count() == 0
+
+
+def test_frames_that_went_through_an_arrow_step_are_stored(spark):
+    """Files below an Arrow step offer their place, the step does not hand it up."""
+    root = scratch_path(spark, "t")
+    products(spark).write.parquet(f"{root}/files")
+    read = spark.read.parquet(f"{root}/files")
+    mapped = read.mapInArrow(lambda batches: batches, read.schema)
+    for way in ("upsert", "insert_new"):
+        table = loads.open_table(spark, scratch_path(spark, "t"), "products")
+        assert getattr(table, way)(mapped) == 3
+        assert table.read().count() == 3
+    joined = read.join(read.select("sku"), "sku").groupBy("sku").agg(F.max("category").alias("category"))
+    assert loads.open_table(spark, scratch_path(spark, "t"), "products").upsert(joined) == 3
