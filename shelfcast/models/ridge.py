@@ -73,6 +73,26 @@ def group_moments(frame, keys, columns):
     return partial.groupBy(*keys, "salt").applyInPandas(merge, schema), pooled
 
 
+def model_schema(frame, keys):
+    """Schema of a model table: the keys as `frame` has them, then the model."""
+    kinds = {f.name: f.dataType for f in frame.schema.fields}
+    return T.StructType(
+        [T.StructField(k, kinds[k]) for k in keys]
+        + [T.StructField("training_rows", T.LongType()),
+           T.StructField("intercept", T.DoubleType()),
+           T.StructField("coefficients", T.ArrayType(T.DoubleType())),
+           T.StructField("residual_std", T.DoubleType())]
+    )
+
+
+def solved(n, mean, scatter, alpha):
+    """(rows, intercept, coefficients, residual deviation) from moments with the target last."""
+    xx, xy, yy = scatter[:-1, :-1], scatter[:-1, -1], scatter[-1, -1]
+    beta = np.linalg.solve(xx + alpha * np.eye(len(xx)), xy)
+    squares = yy - 2 * beta @ xy + beta @ xx @ beta
+    return n, mean[-1] - mean[:-1] @ beta, beta, np.sqrt(max(squares, 0.0) / n)
+
+
 def fit_ridge(frame, keys, features, target="target", alpha=K.RIDGE_ALPHA):
     """Coefficients per group: training rows, intercept, coefficients, residual deviation.
 
@@ -81,22 +101,10 @@ def fit_ridge(frame, keys, features, target="target", alpha=K.RIDGE_ALPHA):
     """
     keys, features = tuple(keys), tuple(features)
     moments, pooled = group_moments(frame, keys, (*features, target))
-    kinds = {f.name: f.dataType for f in frame.schema.fields}
-    schema = T.StructType(
-        [T.StructField(k, kinds[k]) for k in keys]
-        + [T.StructField("training_rows", T.LongType()),
-           T.StructField("intercept", T.DoubleType()),
-           T.StructField("coefficients", T.ArrayType(T.DoubleType())),
-           T.StructField("residual_std", T.DoubleType())]
-    )
+    schema = model_schema(frame, keys)
 
     def solve(key, rows):
-        n, mean, scatter = pooled(rows)
-        xx, xy, yy = scatter[:-1, :-1], scatter[:-1, -1], scatter[-1, -1]
-        beta = np.linalg.solve(xx + alpha * np.eye(len(features)), xy)
-        squares = yy - 2 * beta @ xy + beta @ xx @ beta
-        row = (*key, n, mean[-1] - mean[:-1] @ beta, beta, np.sqrt(max(squares, 0.0) / n))
-        return pd.DataFrame([row], columns=schema.names)
+        return pd.DataFrame([(*key, *solved(*pooled(rows), alpha))], columns=schema.names)
 
     return moments.groupBy(*keys).applyInPandas(solve, schema)
 

@@ -168,7 +168,7 @@ def _per_category(frame):
 def compare_on_folds(panel, boosting_settings, fold_settings):
     """Mean fold metrics of both kinds and the winner, one row per category."""
     features = cut_lineage(folds.fold_features(panel, **fold_settings))
-    linear = cut_lineage(folds.mean_over_folds(folds.ridge_fold_metrics(features)))
+    linear = cut_lineage(folds.mean_over_folds(folds.expanding_ridge_metrics(panel, **fold_settings)))
     boosted = cut_lineage(
         folds.mean_over_folds(folds.boosted_fold_metrics(features, **boosting_settings))
     )

@@ -8,7 +8,7 @@ from shelfcast.models.clustering import ClusterModel, fit_clustering
 from shelfcast.operators import behaviour
 from shelfcast.operators.features import build_training_features
 from shelfcast.operators.windows import recent_history
-from shelfcast.session import scratch_path
+from shelfcast.session import cut_lineage, scratch_path
 from tests.conftest import series
 
 
@@ -74,6 +74,37 @@ def test_boosted_forecaster_brackets_and_reloads(spark, train):
         assert abs(scored.agg(F.sum(c)).first()[0] - again.agg(F.sum(c)).first()[0]) < 1e-6
 
 
+@pytest.mark.parametrize("settings", [{}, {"splits": 4, "train_weeks": 60, "test_weeks": 3}])
+def test_expanding_folds_equal_folds_fitted_one_by_one(spark, small, settings):
+    """One pass over the panel gives what copied rows give, also where fills and prices depend on the fold."""
+    panel = small.weekly_categorised.filter("category IN ('Milk', 'Juice')")
+    made = cut_lineage(folds.make_folds(panel, **settings))
+    cut = {r["category"]: r["train_cut"] for r in made.filter("fold = 2").collect()}["Milk"]
+    odd = panel.withColumns({
+        # a series whose first value lies beyond a cut, one that never has any, missing and changing prices
+        "rolling_std_4": F.when((F.col("week") > F.lit(cut)) | (F.col("channel") != "Retail"), F.col("rolling_std_4")),
+        "delivery_days": F.when(F.col("region") != "PL-South", F.col("delivery_days")),
+        "price_unit": F.when(F.pmod(F.xxhash64("week", "sku"), F.lit(7)) > 0, F.col("price_unit") + F.month("week")),
+    })
+    made = cut_lineage(folds.make_folds(odd, **settings))
+    copied = folds.fold_features(odd, **settings)
+    want = ridge.fit_ridge(copied.filter("role = 'train'"), folds.FOLD, K.FEATURES)
+    got = {(r["category"], r["fold"]): r for r in folds.fit_expanding(odd, made).collect()}
+    late = folds.expanding_rows(odd, made).filter("_late").count()
+    assert 0 < late < odd.count() / 2
+    rows = want.collect()
+    assert len(rows) == len(got) == made.count()
+    for r in rows:
+        own = got[r["category"], r["fold"]]
+        assert own["training_rows"] == r["training_rows"]
+        assert np.allclose(own["coefficients"], r["coefficients"], rtol=1e-6, atol=1e-7)
+        assert np.isclose(own["intercept"], r["intercept"], rtol=1e-5) and np.isclose(own["residual_std"], r["residual_std"])
+    first = folds.expanding_ridge_metrics(odd, **settings).orderBy(*folds.FOLD).collect()
+    second = folds.ridge_fold_metrics(copied).orderBy(*folds.FOLD).collect()
+    assert [(r["category"], r["fold"], r["samples"]) for r in first] == [(r["category"], r["fold"], r["samples"]) for r in second]
+    assert np.allclose([r["mae"] for r in first], [r["mae"] for r in second], rtol=1e-6)
+
+
 def grown_by_hand(x, y, quantile, rounds, depth, rate, min_leaf):
     """Fitted values of boosted trees, every cut between distinct values tried on the raw rows."""
     estimate = np.full(len(y), y.mean() if quantile is None else np.quantile(y, quantile, method="inverted_cdf"))
