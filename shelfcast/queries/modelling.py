@@ -1,12 +1,11 @@
 """Features, models, forecasts and the jobs built from them."""
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from shelfcast import constants as K
 from shelfcast.functions import scalars as S
 from shelfcast.models import boosting, folds, horizon, ridge, selection
-from shelfcast.models.clustering import _vectors, fit_clustering
+from shelfcast.models.clustering import fit_clustering
 from shelfcast.operators import behaviour, features, metrics
 from shelfcast.operators.projection import seasonal_projection
 from shelfcast.operators.windows import recent_history
@@ -510,21 +509,23 @@ def k19(t):
 
 
 @query("k20_kmeans_clusters", """
-    SELECT DISTINCT sku, TRUE AS nearest, TRUE AS k_in_range FROM weekly
+    SELECT DISTINCT sku, TRUE AS nearest, TRUE AS settled, TRUE AS k_in_range FROM weekly
 """)
 def k20(t):
-    """Whether every SKU sits at its nearest centre; ten starts for each k."""
+    """Whether every SKU sits at its nearest centre and centres are the means of their SKUs."""
     sku_features = behaviour.sku_features(t.weekly)
     model = fit_clustering(sku_features)
-    centres = [[float(x) for x in c] for c in model.kmeans.clusterCenters()]
-    scaled = model.scaler.transform(_vectors(sku_features)).select("sku", vector_to_array("scaled").alias("x"))
-    gap = [
-        F.aggregate(F.zip_with("x", F.array(*map(F.lit, c)), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
-        for c in centres
-    ]
-    own = F.get(F.array(*gap), F.col("cluster"))
-    return scaled.join(model.labels(sku_features), "sku").select(
-        "sku", (own <= F.least(*gap) + 1e-9).alias("nearest"), F.lit(3 <= model.k <= 6).alias("k_in_range")
+    scaled = sku_features.select("sku", model.scaled().alias("x")).join(model.labels(sku_features), "sku")
+    gaps = model.gaps(F.col("x"))
+    width = len(K.CLUSTER_FEATURES)
+    means = scaled.groupBy("cluster").agg(F.array(*[F.avg(F.get("x", F.lit(i))) for i in range(width)]).alias("mean"))
+    centres = F.array(*[F.array(*map(F.lit, map(float, c))) for c in model.centres])
+    moved = F.aggregate(
+        F.zip_with("mean", F.get(centres, F.col("cluster")), lambda a, b: F.abs(a - b)), F.lit(0.0), lambda s, v: s + v
+    )
+    return scaled.join(means, "cluster").select(
+        "sku", (F.get(F.array(*gaps), F.col("cluster")) <= F.least(*gaps) + 1e-9).alias("nearest"),
+        (moved < 1e-3).alias("settled"), F.lit(3 <= model.k <= 6).alias("k_in_range"),
     )
 
 

@@ -102,7 +102,7 @@ class ModelCatalog:
         return self.save(lambda path: forecaster.save(self.spark, path), name, "gbr", **card)
 
     def save_clusters(self, model, name="clusterer", **card):
-        return self.save(model.save, name, "clusters", **card)
+        return self.save(lambda path: model.save(self.spark, path), name, "clusters", **card)
 
     def load(self, card):
         """The model behind a card: coefficient table, forecaster or clusters."""

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast import constants as K
-from shelfcast.models import boosting, folds, growing, horizon, ridge
+from shelfcast.models import boosting, clustering, folds, growing, horizon, ridge
 from shelfcast.models.clustering import ClusterModel, fit_clustering
 from shelfcast.operators import behaviour
 from shelfcast.operators.features import build_training_features
@@ -273,9 +273,55 @@ def test_clusters_cover_all_skus(spark, small):
     with pytest.raises(ValueError):
         fit_clustering(features.limit(3), starts=1)
     path = scratch_path(spark, "clusters")
-    model.save(path)
+    model.save(spark, path)
     assert {tuple(r) for r in ClusterModel.load(spark, path).labels(features).collect()} == {
         tuple(r) for r in labels.collect()
     }
     with pytest.raises(KeyError):
         behaviour.similar_skus(labels, labels, "ZZ-999")
+
+
+def test_models_moved_together_equal_models_moved_alone(spark):
+    """Centres after Lloyd steps equal those of plain loops over one model; empty clusters stay."""
+    random = np.random.default_rng(6)
+    x = np.concatenate([random.normal(c, 1.0, (60, 2)) for c in ((0, 0), (6, 0), (0, 7))])
+    points = spark.createDataFrame([(i * 7919, r.tolist()) for i, r in enumerate(x)], "h long, x array<double>").repartition(4)
+    starts = [x[random.choice(len(x), k, replace=False)] for k in (2, 3, 3, 5)] + [np.array([[0.0, 0.0], [1e6, 0.0]])]
+    models, costs = clustering.lloyd(points, starts)
+    for start, got, cost in zip(starts, models, costs):
+        centres = start.copy()
+        for _ in range(clustering.MOST_MOVES):
+            nearest = ((x[:, None] - centres) ** 2).sum(axis=2).argmin(axis=1)
+            new = np.array([x[nearest == i].mean(axis=0) if (nearest == i).any() else c for i, c in enumerate(centres)])
+            rest = ((new - centres) ** 2).sum(axis=1).max() <= clustering.REST
+            last, centres = ((x - centres[nearest]) ** 2).sum(), new
+            if rest:
+                break
+        assert np.allclose(got, centres) and np.isclose(cost, last)
+    sums = clustering._sums_of_all(points, models[:4])
+    scores = clustering._silhouettes(points, models[:4], sums)
+    for centres, score in zip(models, scores):
+        gaps, own = ((x[:, None] - x) ** 2).sum(axis=2), ((x[:, None] - centres) ** 2).sum(axis=2).argmin(axis=1)
+        each = []
+        for i, c in enumerate(own):
+            inside = gaps[i][own == c].sum() / max((own == c).sum() - 1, 1)
+            outside = min(gaps[i][own == o].mean() for o in set(own) - {c})
+            each.append((outside - inside) / max(inside, outside))
+        assert np.isclose(score / len(x), np.mean(each))
+
+
+def test_clusters_are_as_good_as_those_of_single_fits(spark, small):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    features = behaviour.sku_features(small.weekly)
+    for k in (3, 4):
+        model = fit_clustering(features, k_range=(k, k))
+        scaled = features.select("sku", model.scaled().alias("x"))
+        gaps = model.gaps(F.col("x"))
+        cost = scaled.agg(F.sum(F.least(*gaps))).first()[0]
+        vectors = scaled.select(array_to_vector("x").alias("features")).persist()
+        single = min(KMeans(k=k, seed=42 + i).fit(vectors).summary.trainingCost for i in range(5))
+        assert cost <= 1.02 * single
+        # centres rest: assigning and averaging once more changes nothing
+        assert model.labels(features).select("cluster").distinct().count() == k
