@@ -36,6 +36,8 @@ K1, B = 1.2, 0.75
 ROW_BYTES = 256
 #: Minimum hashes in a document's sort key, their seed, and sampled keys for each shard.
 HASHES, SEED, SAMPLED = 8, 11, 32
+#: Shards that meet in a task.
+SHARDS_A_TASK = 16
 #: Weights are multiples of this, so that sums do not depend on their order.
 _GRAIN = 2.0**-30
 
@@ -55,6 +57,31 @@ def _encoder(path):
     return tiktoken.Encoding("given", pat_str=WORDS, mergeable_ranks=ranks, special_tokens=special)
 
 
+def distinct_terms(ids):
+    """(document, term, count) arrays of all documents at once, by document and term."""
+    sizes = np.array([len(x) for x in ids])
+    key = np.repeat(np.arange(len(ids), dtype=np.int64) << 32, sizes)
+    key |= np.concatenate(ids) if len(ids) else np.zeros(0, dtype=np.int64)
+    key.sort()
+    starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    counts = np.diff(np.append(starts, len(key)))
+    key = key[starts]
+    return key >> 32, key & (2**32 - 1), counts
+
+
+def _id_chunks(batch, most_ids=500_000):
+    """Id arrays of a batch, in slices with a bounded number of ids (one document at least)."""
+    held, size = [], 0
+    for x in batch.column("__ids").to_pylist():
+        held.append(np.frombuffer(x, dtype="<u4"))
+        size += len(held[-1])
+        if size >= most_ids:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _rarity(held, documents):
     return np.log1p((documents - held + 0.5) / (held + 0.5))
 
@@ -69,10 +96,7 @@ class InvertedIndex:
 
     def __init__(self, ids, most_common=0.25, corpus=None):
         self.documents = len(ids)
-        terms, counts = zip(*(np.unique(x, return_counts=True) for x in ids))
-        sizes = np.array([len(t) for t in terms])
-        owner = np.repeat(np.arange(len(ids)), sizes)
-        terms, counts = np.concatenate(terms).astype(np.int64), np.concatenate(counts)
+        owner, terms, counts = distinct_terms(ids)
         here = np.bincount(terms)
         lengths = np.array([len(x) for x in ids], dtype=np.float64)
         held, documents, mean = corpus or (here, len(ids), lengths.mean())
@@ -171,11 +195,10 @@ def _statistics(encoded):
     def count(batches):
         held = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for x in batch.column("__ids").to_pylist():
-                terms = np.unique(np.frombuffer(x, dtype="<u4"))
-                if terms[-1] >= len(held):
-                    held = np.pad(held, (0, int(terms[-1]) + 1 - len(held)))
-                held[terms] += 1
+            for ids in _id_chunks(batch):
+                here = np.bincount(distinct_terms(ids)[1], minlength=len(held))
+                here[:len(held)] += held
+                held = here
         found = np.flatnonzero(held)
         yield batch_of(schema, found, held[found])
 
@@ -197,13 +220,18 @@ def _hash_table(corpus):
     return np.where(held > 1, drawn / np.maximum(_rarity(held, documents), 1e-300) ** 2, np.inf)
 
 
-def near_key(ids, table):
-    """Sort key of a document: the term of each minimum hash; documents close in it share rare terms."""
-    terms = np.unique(ids).astype(np.int64)
-    values = table[:, terms]
-    at = values.argmin(axis=1)
-    least = np.where(np.isfinite(values[np.arange(len(at)), at]), terms[at], 2**32 - 1)
-    return least.astype(">u4").tobytes()
+def near_keys(ids, table):
+    """Sort keys of documents: the term of each minimum hash; documents close in them share rare terms."""
+    owner, terms, _ = distinct_terms(ids)
+    first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+    out = np.empty((len(ids), len(table)), dtype=">u4")
+    for i, values in enumerate(table):
+        own = values[terms]
+        least = np.minimum.reduceat(own, first)
+        hits = np.flatnonzero(own == least[owner])
+        hits = hits[np.append(True, owner[hits[1:]] != owner[hits[:-1]])]
+        out[:, i] = np.where(np.isfinite(least), terms[hits], 2**32 - 1)
+    return [row.tobytes() for row in out]
 
 
 def _bounds(rows, corpus, shards, total):
@@ -233,11 +261,9 @@ def _bounds(rows, corpus, shards, total):
 
 def _keys(batch, table):
     """Sort keys of rows; rows of equal texts are told apart by their hash and number."""
-    columns = zip(*(batch.column(c).to_pylist() for c in ("__ids", "__hash", "__row")))
-    return [
-        near_key(np.frombuffer(x, dtype="<u4"), table) + (h + 2**63).to_bytes(8, "big") + n.to_bytes(8, "big")
-        for x, h, n in columns
-    ]
+    near = [key for ids in _id_chunks(batch) for key in near_keys(ids, table)]
+    columns = zip(near, *(batch.column(c).to_pylist() for c in ("__hash", "__row")))
+    return [key + (h + 2**63).to_bytes(8, "big") + n.to_bytes(8, "big") for key, h, n in columns]
 
 
 def pack(docs, vocabulary, window=1024, end_id=0, shard_bytes=4_000_000, most_common=0.25,
@@ -334,4 +360,7 @@ def pack(docs, vocabulary, window=1024, end_id=0, shard_bytes=4_000_000, most_co
         }
         return pa.table({f: columns[f] for f in shape.names})
 
-    return dealt.groupBy("__shard").applyInArrow(lay, shape)
+    # about SHARDS_A_TASK shards in a task, and as many tasks as the session asks for while there are shards
+    usual = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(min(shards, usual), -(-shards // SHARDS_A_TASK))
+    return dealt.repartition(tasks, "__shard").groupBy("__shard").applyInArrow(lay, shape)
