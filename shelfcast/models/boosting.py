@@ -139,6 +139,18 @@ class LinearForecaster:
         return point, point - half, point + half
 
 
+def estimates_by_key(forecasters, columns, owner, x):
+    """Point, lower and upper of every row of `x` by the forecaster of its owner, NaN without one."""
+    rows_of = {}
+    for i, key in enumerate(owner):
+        rows_of.setdefault(key, []).append(i)
+    out = np.full((3, len(owner)), np.nan)
+    for key, rows in rows_of.items():
+        if key in forecasters:
+            out[:, rows] = forecasters[key].estimates(x[np.ix_(rows, columns[key])])
+    return out
+
+
 def predict_by_key(frame, forecasters, keys):
     """Adds point, lower and upper, each row by the forecaster of its key values.
 
@@ -155,13 +167,7 @@ def predict_by_key(frame, forecasters, keys):
         for batch in batches:
             x = matrix(batch.column("_x"), len(names)) if names else np.zeros((batch.num_rows, 0))
             owner = list(zip(*(batch.column(k).to_pylist() for k in keys))) if keys else [()] * batch.num_rows
-            rows_of = {}
-            for i, key in enumerate(owner):
-                rows_of.setdefault(key, []).append(i)
-            out = np.full((3, batch.num_rows), np.nan)
-            for key, rows in rows_of.items():
-                if key in forecasters:
-                    out[:, rows] = forecasters[key].estimates(x[np.ix_(rows, columns[key])])
+            out = estimates_by_key(forecasters, columns, owner, x)
             rest = batch.drop_columns(["_x"])
             made = [pa.array(o, pa.float64(), mask=np.isnan(o)) for o in out]
             yield pa.RecordBatch.from_arrays([*rest.columns, *made], names=[*rest.schema.names, *added])

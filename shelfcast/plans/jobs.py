@@ -9,7 +9,7 @@ from shelfcast import constants as K
 from shelfcast.functions import scalars as S
 from shelfcast.models import boosting, folds, ridge, selection
 from shelfcast.models.clustering import fit_clustering
-from shelfcast.models.horizon import linear_predictor, predict_horizon
+from shelfcast.models.horizon import KeyedPredictor, linear_predictor, predict_horizon
 from shelfcast.operators import analytics, behaviour, metrics
 from shelfcast.operators.cleaning import clean_daily_data
 from shelfcast.operators.features import build_training_features
@@ -369,15 +369,8 @@ def score_batch(batch, weekly_features, model, weeks=K.HORIZON_DEFAULT):
     """
     history = batch_history(batch, weekly_features)
     if isinstance(model, dict):
-        modelled = history.filter(F.col("category").isin(list(model)))
-        served = {(c,): f for c, (f, _) in model.items()}
-
-        def predict(frame):
-            return boosting.predict_by_key(frame, served, ("category",))
-
-        return predict_horizon(modelled, predict, weeks)
-    modelled = history.join(model.select("category"), "category", "left_semi")
-    return predict_horizon(modelled, linear_predictor(model), weeks)
+        return predict_horizon(history, KeyedPredictor({c: f for c, (f, _) in model.items()}), weeks)
+    return predict_horizon(history, linear_predictor(model), weeks)
 
 
 def run_batch(spark, root, path, weekly_features, model, weeks=K.HORIZON_DEFAULT, batch_id=None):

@@ -304,10 +304,8 @@ def k8(t):
       mo AS momentum, promo_before AS promo_lag_1 FROM steps WHERE step = 1
 """, "lag_1 lag_2 rolling_mean_4 rolling_std_4 momentum")
 def k9(t):
-    state = horizon.series_state(recent_history(t.weekly_categorised))
-    predict = horizon.linear_predictor(given_model(t))
-    after = horizon.stepper(state.columns, predict)(state)
-    return after.select(*K.SERIES, "week", *K.LAG_COLUMNS, "promo_lag_1")
+    predictor = horizon.linear_predictor(given_model(t))
+    return horizon.state_after(recent_history(t.weekly_categorised), predictor)
 
 
 @query("k10_category_forecast",
