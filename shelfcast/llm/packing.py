@@ -69,15 +69,22 @@ def distinct_terms(ids):
     return key >> 32, key & (2**32 - 1), counts
 
 
-def _id_chunks(batch, most_ids=500_000):
+def slices(batch, rows=512):
+    """The batch in slices of so many rows: what Python makes of a slice is gone before the next."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
+def _id_chunks(batch, most_ids=250_000):
     """Id arrays of a batch, in slices with a bounded number of ids (one document at least)."""
     held, size = [], 0
-    for x in batch.column("__ids").to_pylist():
-        held.append(np.frombuffer(x, dtype="<u4"))
-        size += len(held[-1])
-        if size >= most_ids:
-            yield held
-            held, size = [], 0
+    for part in slices(batch):
+        for x in part.column("__ids").to_pylist():
+            held.append(np.frombuffer(x, dtype="<u4"))
+            size += len(held[-1])
+            if size >= most_ids:
+                yield held
+                held, size = [], 0
     if held:
         yield held
 
@@ -301,7 +308,7 @@ def pack(docs, vocabulary, window=1024, end_id=0, shard_bytes=4_000_000, most_co
 
     def encode(batches):
         encoder = _encoder(SparkFiles.get(name))
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             ids = [
                 np.append(encoder.encode_to_numpy(t, allowed_special="all"), end_id).astype("<u4")
                 for t in texts_of(batch, "__text")
