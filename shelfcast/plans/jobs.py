@@ -3,6 +3,7 @@
 import uuid
 from datetime import datetime, timezone
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from shelfcast import constants as K
@@ -20,6 +21,7 @@ from shelfcast.operators.windows import latest_sku_metadata, positions
 from shelfcast.session import cut_lineage
 from shelfcast.sources import catalog as cat
 from shelfcast.sources import loads
+from shelfcast.sources.snapshots import PARTITION
 from shelfcast.sources.readers import (
     read_batch_parquet,
     read_daily_csv,
@@ -40,27 +42,31 @@ def load_all(spark, root, daily, weekly, enriched):
     }
 
 
+def _counted(frame, seen, name):
+    """The frame, its rows counted under `name` as they pass."""
+    seen[name] = Observation(name)
+    return frame.observe(seen[name], F.count(F.lit(1)).alias("row_count"))
+
+
 def full_etl(spark, daily, weekly, template, folder, with_lags=False):
     """Clean, sum to weeks, enrich, write both artifacts; returns a row per stage count.
 
-    Stages are counted on the written artifacts and the cleaned input, so no plan runs
-    twice for its count alone. `with_lags` adds the lag features, which the usual run
-    leaves to the ready-made weekly file.
+    Rows are counted while they pass on their way to the artifacts, so nothing is read for its
+    count. The counts are a report: a stage that runs again after a lost executor may add its
+    rows twice to them, never to the artifacts. `with_lags` adds the lag features, which the
+    usual run leaves to the ready-made weekly file.
     """
-    cleaned = clean_daily_data(daily)
-    enriched = enrich_features(aggregate_to_weekly(cleaned), template)
+    seen = {}
+    cleaned = _counted(clean_daily_data(daily), seen, "daily_rows")
+    sums = _counted(aggregate_to_weekly(cleaned), seen, "weekly_rows_aggregated")
+    enriched = enrich_features(sums, template)
     if with_lags:
         from shelfcast.operators.windows import compute_lag_features
 
         enriched = compute_lag_features(enriched)
-    write_artifacts(enriched, weekly, folder)
-    written = {
-        "daily_rows": cleaned,
-        "weekly_rows_aggregated": spark.read.parquet(f"{folder}/weekly_enriched"),
-        "weekly_rows_modeling": spark.read.parquet(f"{folder}/weekly_modeling"),
-        "enriched_rows": spark.read.parquet(f"{folder}/weekly_enriched"),
-    }
-    return analytics.row_counts(written)
+    write_artifacts(_counted(enriched, seen, "enriched_rows"), _counted(weekly, seen, "weekly_rows_modeling"), folder)
+    counts = [(name, int(observed.get["row_count"])) for name, observed in seen.items()]
+    return spark.createDataFrame(counts, "table_name string, row_count long")
 
 
 def full_etl_from_files(spark, raw, folder):
@@ -81,19 +87,25 @@ def eligible_predictions(log, products, as_of):
     )
 
 
-def weekly_actuals(daily_sales, wanted):
-    """Units per series and week, for the products and weeks under scoring.
+def facts_of_weeks(daily_sales, weeks):
+    """Daily facts of the given weeks (a frame of distinct `forecast_week`), with their week.
 
-    Semi joins on the distinct keys replace a collected IN list; the first and last week
-    become a date range that the scan can use.
+    Where the facts carry the month that partitions their files, a semi join on the months of
+    those weeks comes first and prunes the files while the query runs; months are bounded by the
+    calendar, so they are broadcast.
     """
-    weeks = wanted.select(F.col("forecast_week")).distinct()
-    skus = wanted.select("sku").distinct()
-    first, last = weeks.agg(F.min("forecast_week"), F.max("forecast_week")).first()
-    days = F.col("sale_date").between(F.lit(first), F.date_add(F.lit(last), 6))
+    if PARTITION in daily_sales.columns:
+        ends = F.array(F.col("forecast_week"), F.date_add("forecast_week", 6))
+        months = weeks.select(F.explode(ends).alias("day")).select(F.date_format("day", "yyyy-MM").alias(PARTITION))
+        daily_sales = daily_sales.join(F.broadcast(months.distinct()), PARTITION, "left_semi").drop(PARTITION)
+    return daily_sales.withColumn("forecast_week", S.week_start("sale_date")).join(weeks, "forecast_week", "left_semi")
+
+
+def weekly_actuals(daily_sales, wanted):
+    """Units per series and week, for the products and weeks under scoring."""
+    weeks, skus = wanted.select(F.col("forecast_week")).distinct(), wanted.select("sku").distinct()
     return (
-        daily_sales.filter(days).withColumn("forecast_week", S.week_start("sale_date"))
-        .join(skus, "sku", "left_semi").join(weeks, "forecast_week", "left_semi")
+        facts_of_weeks(daily_sales, weeks).join(skus, "sku", "left_semi")
         .groupBy(*K.SERIES, "forecast_week").agg(F.sum("units_sold").alias("actual_units"))
     )
 

@@ -404,7 +404,7 @@ LIVE_SQL = f"""
 
 @query("e28_live_metrics", LIVE_SQL, "live_mape live_rmse live_mae")
 def e28(t):
-    matched = jobs.match_actuals(t.prediction_log, t.products, t.daily_sales, LOG_AS_OF)
+    matched = jobs.match_actuals(t.prediction_log, t.products, t.daily_sales_by_month, LOG_AS_OF)
     return metrics.live_metrics(matched)
 
 

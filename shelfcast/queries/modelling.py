@@ -583,7 +583,7 @@ def k23(t):
     log = loads.open_table(t.spark, root, "prediction_log")
     log.insert_new(t.prediction_log.drop("actual_units", "scored_at"))
     performance = loads.open_table(t.spark, root, "model_performance_live")
-    jobs.score_predictions(log, performance, t.products, t.daily_sales, LOG_AS_OF)
+    jobs.score_predictions(log, performance, t.products, t.daily_sales_by_month, LOG_AS_OF)
     return performance.read()
 
 

@@ -88,10 +88,9 @@ def b6(t):
 """)
 def b7(t):
     keys = t.template.select(F.col("week").alias("forecast_week"), "sku")
-    facts = t.daily_sales.withColumn("forecast_week", S.week_start("sale_date"))
+    facts = jobs.facts_of_weeks(t.daily_sales_by_month, keys.select("forecast_week").distinct())
     return (
         facts.join(keys.select("sku").distinct(), "sku", "left_semi")
-        .join(keys.select("forecast_week").distinct(), "forecast_week", "left_semi")
         .agg(F.count("*").alias("fact_rows"))
     )
 

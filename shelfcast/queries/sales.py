@@ -7,7 +7,7 @@ from shelfcast.functions import scalars as S
 from shelfcast.operators import analytics as A
 from shelfcast.operators import behaviour, quantiles
 from shelfcast.operators import weekly as W
-from shelfcast.operators.fingerprint import fingerprint
+from shelfcast.operators.fingerprint import combined, fingerprint, fingerprint_parts
 from shelfcast.plans import jobs
 from shelfcast.queries.registry import query
 
@@ -427,7 +427,7 @@ ACTUALS_SQL = """
 
 @query("e27_weekly_actuals", ACTUALS_SQL, "actual_units")
 def e27(t):
-    return jobs.weekly_actuals(t.daily_sales, t.prediction_log)
+    return jobs.weekly_actuals(t.daily_sales_by_month, t.prediction_log)
 
 
 @query("e31_sku_behaviour", """
@@ -512,6 +512,24 @@ def e38(t):
     return fingerprint(t.weekly_categorised, "category")
 
 
+@query("e38_fingerprint_by_months", """
+    WITH text AS (SELECT category, sha256('{"channel":"' || channel || '","lifecycle_stage":"' || lifecycle_stage
+        || '","promotion_flag":' || promotion_flag || ',"region":"' || region || '","sku":"' || sku || '","sku_age":'
+        || sku_age || ',"units_sold":' || CAST(CAST(units_sold AS BIGINT) AS VARCHAR) || ',"week":"' || week || '"}') AS h
+      FROM weekly_cat),
+    sums AS (SELECT category, COUNT(*) AS n, SUM(CAST(('0x' || h[1:15]) AS BIGINT)) AS a,
+        SUM(CAST(('0x' || h[16:30]) AS BIGINT)) AS b FROM text GROUP BY category)
+    SELECT category, CAST(n AS BIGINT) AS rows, sha256(n || '|' || a || '|' || b)[1:32] AS data_hash FROM sums
+""")
+def e38_months(t):
+    """Columns whose text is the same everywhere, hashed month by month and added up."""
+    rows = t.weekly_categorised.select(
+        "category", "sku", "week", "channel", "region", "lifecycle_stage", "promotion_flag", "sku_age",
+        F.col("units_sold").cast("long").alias("units_sold"), F.trunc("week", "month").alias("month"),
+    )
+    return combined(fingerprint_parts(rows, "category", "month"), "category")
+
+
 @query("g1_top_products_by_units", """
     SELECT sku, category, SUM(units_sold) AS metric_value FROM daily_sales JOIN products USING (sku)
     GROUP BY 1, 2 ORDER BY metric_value DESC, sku LIMIT 10
@@ -635,7 +653,7 @@ MATCHED_SQL = f"""
 def c4(t):
     from shelfcast.sources.star_tables import LOG_AS_OF
 
-    return jobs.match_actuals(t.prediction_log, t.products, t.daily_sales, LOG_AS_OF).select(
+    return jobs.match_actuals(t.prediction_log, t.products, t.daily_sales_by_month, LOG_AS_OF).select(
         *K.SERIES, "forecast_week", "predicted_units", "actual_units", "model_version", "category"
     )
 
@@ -694,8 +712,7 @@ def c11(t):
     weeks = t.prediction_log.select("forecast_week").distinct()
     skus = t.prediction_log.select("sku").distinct()
     return (
-        t.daily_sales.withColumn("forecast_week", S.week_start("sale_date"))
-        .join(weeks, "forecast_week", "left_semi").join(skus, "sku", "left_semi")
+        jobs.facts_of_weeks(t.daily_sales_by_month, weeks).join(skus, "sku", "left_semi")
         .agg(F.count("*").alias("fact_rows"), F.sum("units_sold").alias("units"))
     )
 

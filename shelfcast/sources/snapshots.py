@@ -6,6 +6,7 @@ partition, the newest replacement and what was added after it. A job that dies b
 the log line leaves the table as it was, and can be run again. Keys are never NULL.
 """
 
+import logging
 import re
 import uuid
 from dataclasses import dataclass
@@ -19,6 +20,8 @@ from pyspark.sql import types as T
 from shelfcast import constants as K
 from shelfcast.session import cut_lineage
 
+#: Name of the column that partitions the files of a table.
+PARTITION = "_part"
 _LOG = "version long, part string, mode string, path string, rows long"
 
 
@@ -42,10 +45,15 @@ def input_order(frame):
     an Arrow step), has the order of its rows.
     """
     place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")]
+    log = logging.getLogger("DataFrameQueryContextLogger")
+    level = log.level
     try:
+        log.setLevel(logging.CRITICAL)  # that a frame has no place is an answer, not an error
         frame.select(*place)
     except AnalysisException:
         place = []
+    finally:
+        log.setLevel(level)
     return F.struct(*place, F.monotonically_increasing_id().alias("row"))
 
 
@@ -83,21 +91,27 @@ class SnapshotTable:
         live = log.join(newest, F.col("part") == F.col("of")).filter("version >= since")
         return [r["path"] for r in live.orderBy("version", "part").select("path").collect()]
 
-    def read(self, parts=None):
-        paths = self._live(parts)
+    def read(self, parts=None, with_part=False):
+        """The rows in force; `with_part` adds the column that partitions the files, for pruning."""
+        paths, schema = self._live(parts), self.schema
+        if with_part:
+            schema = T.StructType([*schema.fields, T.StructField(PARTITION, T.StringType())])
         if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema)
+        if with_part:
+            reader = reader.option("basePath", f"{self.root}/data")
+        return reader.parquet(*paths).select(*schema.names)
 
     def _commit(self, frame, mode, batch_rows):
         newest = self._log().agg(F.max("version")).first()[0] or 0
         version = newest + 1
         # a name no earlier attempt had, whether it lived to write its log line or not
         folder = f"{self.root}/data/version={version}-{uuid.uuid4().hex}"
-        parted = frame.withColumn("_part", self._part()).hint("rebalance", "_part")
-        parted.write.partitionBy("_part").parquet(folder)
+        parted = frame.withColumn(PARTITION, self._part()).hint("rebalance", PARTITION)
+        parted.write.partitionBy(PARTITION).parquet(folder)
         lines = [
-            (version, part, mode, f"{folder}/_part={part}", rows)
+            (version, part, mode, f"{folder}/{PARTITION}={part}", rows)
             for part, rows in batch_rows.items()
         ]
         log = self.spark.createDataFrame(lines, _LOG)

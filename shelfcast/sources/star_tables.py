@@ -116,9 +116,13 @@ class StarTables:
     @cached_property
     def daily_sales(self):
         """Stored fact table: the daily frame without product attributes."""
-        return self.daily.select(
+        return self.sales_of(self.daily)
+
+    @staticmethod
+    def sales_of(daily, *more):
+        return daily.select(
             "sku", F.col("date").alias("sale_date"), "channel", "region", "price_unit",
-            "promotion_flag", "delivery_days", "stock_available", "delivered_qty", "units_sold",
+            "promotion_flag", "delivery_days", "stock_available", "delivered_qty", "units_sold", *more,
         )
 
     @cached_property

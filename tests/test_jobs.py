@@ -124,3 +124,41 @@ def test_batch_from_a_catalog_of_both_kinds(spark, small):
         gap = F.max(F.abs(F.col("point") - F.col("predicted_units").cast("double")))
         assert both.count() == want.count() > 0 and both.agg(gap).first()[0] < 1e-3
     train.unpersist()
+
+
+def test_months_under_scoring_prune_the_facts_while_the_query_runs(spark, small):
+    """The scan of the daily files is filtered by a subquery on their month, with no job before it."""
+    first = small.prediction_log.agg(F.min("forecast_week")).first()[0]
+    log = small.prediction_log.filter(F.col("forecast_week") < F.date_add(F.lit(first), 42))
+    plan = jobs.weekly_actuals(small.daily_sales_by_month, log)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "PartitionFilters: [isnotnull(_part" in plan
+    want = jobs.weekly_actuals(small.daily_sales, log)
+    got = jobs.weekly_actuals(small.daily_sales_by_month, log)
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 < got.count()
+
+
+def test_months_of_a_keyed_table_prune_as_well(spark, small):
+    table = loads.open_table(spark, scratch_path(spark, "t"), "daily_sales")
+    table.upsert(small.daily_sales.filter("sale_date < '1997-01-01'"))
+    table.upsert(small.daily_sales.filter("sale_date < '1996-07-01'").withColumn("units_sold", F.lit(1.0)))
+    with_month = table.read(with_part=True)
+    assert with_month.filter("_part <> date_format(sale_date, 'yyyy-MM')").count() == 0
+    assert with_month.drop("_part").exceptAll(table.read()).count() == 0
+    plan = with_month.filter("_part = '1996-03'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_part" in plan
+
+
+def test_etl_reads_the_daily_input_once_and_counts_on_the_way(spark, small):
+    passed = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+
+    daily = small.daily.mapInArrow(seen, small.daily.schema)
+    counts = jobs.full_etl(spark, daily, small.weekly, small.template, scratch_path(spark, "etl"))
+    found = {r["table_name"]: r["row_count"] for r in counts.collect()}
+    assert found["daily_rows"] == small.daily.count() == passed.value
+    assert found["weekly_rows_aggregated"] == found["enriched_rows"] == small.weekly_base.count()
+    assert found["weekly_rows_modeling"] == small.weekly.count()
