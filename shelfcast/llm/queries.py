@@ -129,37 +129,37 @@ def op7_ngram_jaccard(spark, folder):
 WITH RECURSIVE keyed AS (
   SELECT doc_id, coalesce(source, '') AS source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
 ), sizes AS (
-  SELECT source, count(*) AS n FROM keyed GROUP BY source
-), slots AS (
-  SELECT source, n, greatest(1, CAST(round(pow(n, 0.7) * count(*) OVER () * 64 / sum(pow(n, 0.7)) OVER ()) AS INT)) AS m
-  FROM sizes
-), given AS (
-  SELECT list(source ORDER BY source) AS names, list(CAST(m AS BIGINT) ORDER BY source) AS m, CAST(sum(m) AS BIGINT) AS length FROM slots
-), run(t, done, pick) AS (
-  SELECT CAST(-1 AS BIGINT), list_transform(m, lambda x: CAST(0 AS BIGINT)), CAST(NULL AS BIGINT) FROM given
-  UNION ALL
-  SELECT t + 1, list_transform(done, lambda c, i: CASE WHEN i = best.s THEN c + 1 ELSE c END), best.s
-  FROM (
-    SELECT t, done, length, list_min(list_filter(list_transform(done, lambda c, i:
-      CASE WHEN c < m[i] AND c * length // m[i] <= t + 1
-           THEN {'due': ((c + 1) * length + m[i] - 1) // m[i], 's': CAST(i AS BIGINT)} END), lambda x: x IS NOT NULL)) AS best
-    FROM run, given WHERE t + 1 < length
-  )
-), frame AS (
-  SELECT names[pick] AS source, m[pick] AS m, length, t AS spot, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS place
-  FROM run, given WHERE pick IS NOT NULL
+  SELECT source, count(*) AS n, CAST(round(pow(count(*), 0.7) * 1000000) AS HUGEINT) AS w,
+    row_number() OVER (ORDER BY source) - 1 AS i FROM keyed GROUP BY source
+), facts AS (
+  SELECT CAST(ceil(log2(count(*))) AS INT) AS levels, CAST(sum(w) AS HUGEINT) AS total FROM sizes
+), cut AS (
+  SELECT levels, total, 64 // CAST(pow(2, floor(log2(greatest(levels // 2, 0.5))) + 1) AS BIGINT) AS unit_rows FROM facts
+), nodes AS (
+  SELECT k, i >> k AS node, CAST(sum(w) AS HUGEINT) AS w
+  FROM sizes, (SELECT unnest(range(0, 40)) AS k) WHERE k <= (SELECT levels FROM facts) GROUP BY ALL
 ), ranked AS (
   SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY h, doc_id) - 1 AS r FROM keyed
-), ends AS (
-  SELECT min(b // m * length + spot) AS finish FROM (
-    SELECT f.*, (n + 63) // 64 AS b FROM frame f JOIN sizes USING (source)) WHERE b % m = place
+), asked AS (
+  SELECT DISTINCT source, r // unit_rows + 1 AS unit FROM ranked, cut
+  UNION SELECT source, (n + unit_rows - 1) // unit_rows + 1 FROM sizes, cut
+), climb AS (
+  SELECT a.source, a.unit, s.i, CAST(0 AS INT) AS k, CAST(a.unit AS HUGEINT) AS n FROM asked a JOIN sizes s USING (source)
+  UNION ALL
+  SELECT c.source, c.unit, c.i, c.k + 1, CASE WHEN (c.i >> c.k) % 2 = 0
+    THEN ((2 * c.n - 1) * both_.w + 2 * own.w - 1) // (2 * own.w) ELSE ((2 * c.n - 1) * both_.w) // (2 * own.w) + 1 END
+  FROM climb c JOIN nodes own ON own.k = c.k AND own.node = c.i >> c.k
+    JOIN nodes both_ ON both_.k = c.k + 1 AND both_.node = c.i >> (c.k + 1)
 ), placed AS (
-  SELECT doc_id, source, r, r // 64 + 1 AS block FROM ranked
+  SELECT source, unit, CAST(n - 1 AS BIGINT) AS spot FROM climb, facts WHERE k = levels
+), ends AS (
+  SELECT min(spot) AS finish FROM placed JOIN sizes USING (source), cut WHERE unit = (n + unit_rows - 1) // unit_rows + 1
 )
-SELECT p.doc_id, p.source, block, (block - 1) * length // m AS release, (block * length + m - 1) // m AS deadline,
-  (block - 1) // m * length + spot AS slot, ((block - 1) // m * length + spot) * 64 + r % 64 AS position,
-  (block - 1) // m * length + spot < finish AS balanced
-FROM placed p JOIN frame f ON p.source = f.source AND (block - 1) % m = place CROSS JOIN ends
+SELECT q.doc_id, q.source, r // 64 + 1 AS block, CAST((r // 64) * total // w AS BIGINT) AS release,
+  CAST(((r // 64 + 1) * total + w - 1) // w AS BIGINT) AS deadline,
+  (spot * unit_rows + r % unit_rows) // 64 AS slot, spot * unit_rows + r % unit_rows AS position, spot < finish AS balanced
+FROM ranked q JOIN sizes s ON s.source = q.source CROSS JOIN cut CROSS JOIN ends
+  JOIN placed p ON p.source = q.source AND p.unit = r // unit_rows + 1
 """)
 def op8_source_mix(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "source")

@@ -114,28 +114,54 @@ def test_search_of_odd_vectors(spark):
     assert pivots.top_k(table.limit(0), F.lit(True)).count() == 0
 
 
-def test_no_source_strays_a_block_from_its_target(spark):
+def strays(rows, weights, block_rows):
+    """Largest distance in blocks of any source from its exact target over the balanced part."""
+    total = sum(weights.values())
+    ordered = [r.source for r in sorted(rows, key=lambda r: r.position) if r.balanced]
+    done, worst = dict.fromkeys(weights, 0), Fraction(0)
+    for n, source in enumerate(ordered, 1):
+        done[source] += 1
+        if len(weights) < 50 or n % 97 == 0:
+            for s, w in weights.items():
+                worst = max(worst, abs(done[s] - n * Fraction(w) / Fraction(total)))
+    assert len(ordered) > block_rows
+    return worst / block_rows
+
+
+def test_no_source_strays_a_block_from_its_exact_target(spark):
     rows = [(i, "t", "en", f"s{0 if i % 3 == 0 else i % 7}") for i in range(4000)]
     docs = documents(spark, rows)
+    sizes = {}
+    for r in rows:
+        sizes[r[3]] = sizes.get(r[3], 0) + 1
     found = mixing.mix(docs, temperature=0.6, block_rows=8).collect()
     assert len(found) == 4000 and len({r.position for r in found}) == 4000
-    slots = {(r.source, r.block): r for r in found}
-    frame = {}
-    for (source, _), r in slots.items():
-        assert r.release <= r.slot < r.deadline
-        frame.setdefault(source, set()).add(r.slot)
-    assert len({r.slot for r in slots.values()}) == len(slots)
-    ordered = sorted(r.slot for r in slots.values() if r.balanced)
-    assert ordered == list(range(len(ordered))) and len(ordered) > 100
-    # weights as the schedule rounds them: block i of a source is due at ceil(i / weight)
-    for source, taken in frame.items():
-        last = max(r.block for r in slots.values() if r.source == source)
-        due = max(r.deadline for r in slots.values() if r.source == source)
-        low, high = Fraction(last - 1, due), Fraction(last, due - 1) if due > 1 else Fraction(1)
-        done = 0
-        for n in ordered:
-            done += n in taken
-            assert done - high * (n + 1) < 1 and low * (n + 1) - done < 1
+    weights = {s: Fraction(round(n**0.6 * 10**6)) for s, n in sizes.items()}
+    assert strays(found, weights, 8) < 1
+    for r in found:
+        w = weights[r.source] / sum(weights.values())
+        assert r.release == math.floor((r.block - 1) / w) and r.deadline == math.ceil(r.block / w)
+
+
+def test_tiny_and_zero_weights_are_met_exactly(spark):
+    rows = [(i, "t", "en", "abcde"[0 if i % 40 else 1 + i // 40 % 4]) for i in range(40_000)]
+    given = {"a": 0.9998, "b": 0.0001, "c": 0.0001, "d": 0.0}
+    found = mixing.mix(documents(spark, rows), given, block_rows=4).collect()
+    assert len({r.position for r in found}) == len(rows)
+    assert strays(found, {s: Fraction(w).limit_denominator(10**6) for s, w in given.items() if w}, 4) < 1
+    last = max(r.position for r in found if r.source in "abc")
+    idle = [r for r in found if r.source in "de"]
+    assert idle and all(r.position > last and not r.balanced and r.release is None for r in idle)
+
+
+def test_thousands_of_sources(spark):
+    draw = np.random.default_rng(3)
+    share = draw.zipf(1.3, 5000).clip(1, 10**6)
+    docs = spark.range(60_000).selectExpr("id AS doc_id", "concat('s', id % 5000) AS source")
+    given = {f"s{i}": float(w) for i, w in enumerate(share)}
+    found = mixing.mix(docs, given, block_rows=64).collect()
+    assert len({r.position for r in found}) == 60_000
+    assert strays(found, {s: Fraction(w) for s, w in given.items()}, 64) < 1
 
 
 def test_given_weights_are_met(spark):
@@ -150,6 +176,9 @@ def test_mixing_of_odd_rows(spark):
     rows = mixing.mix(docs, block_rows=2).collect()
     assert len(rows) == docs.count() and len({r.position for r in rows}) == len(rows)
     assert set(rows[0].asDict()) == set(docs.columns) | {"release", "deadline", "slot", "position", "balanced"}
+    clash = docs.withColumnsRenamed({"block": "Slot"}).withColumns({"__id": F.lit(1), "__source": F.lit(2), "row": F.lit(3)})
+    again = mixing.mix(clash, block_rows=2)
+    assert again.select("__id", "__source", "row").distinct().collect() == [(1, 2, 3)] and "Slot" not in again.columns
     assert mixing.mix(docs.limit(0)).count() == 0
     assert mixing.mix(docs, {"nothing": 1.0}).count() == docs.count()
 
