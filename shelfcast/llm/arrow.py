@@ -61,3 +61,21 @@ def unpacked(frame, columns, added, without=()):
     gone = {n.lower() for n in (*added, *without)}
     kept = [F.col("row").getField(c).alias(c) for c in columns if c.lower() not in gone]
     return frame.select(*kept, *[c.alias(n) for n, c in added.items()])
+
+
+def apart(frame, own, added, run, without=()):
+    """The frame's columns and `added` ones, made by `run` from a frame in which no name can clash.
+
+    `run` gets the columns `own` ({name there: the caller's name}) and all others in one struct
+    `carried`, which it hands on. Columns of an added name, in whatever case, are replaced.
+    """
+    names = {c.lower(): n for n, c in own.items()}
+    rest = [c for c in frame.columns if c.lower() not in names]
+    packed = [F.struct(*map(quoted, rest)).alias("carried")] if rest else []
+    made = run(frame.select(*[quoted(c).alias(n) for n, c in own.items()], *packed))
+    gone = {n.lower() for n in (*added, *without)}
+    kept = [
+        (F.col(names[c.lower()]) if c.lower() in names else F.col("carried").getField(c)).alias(c)
+        for c in frame.columns if c.lower() not in gone
+    ]
+    return made.select(*kept, *added)

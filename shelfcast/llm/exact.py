@@ -2,6 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from shelfcast.llm.arrow import apart, carried, quoted
+
+ADDED = ("keep_id", "group_size", "kept", "text_sha256")
 #: Runs of these bytes (space, tab to carriage return) become one space.
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
@@ -23,15 +26,17 @@ def mark_copies(docs, doc_id="doc_id", text="text"):
     A null text counts as empty. Null ids: a group whose ids are all null has keep_id null
     and all its rows stay; else a null id never stays. Repeated rows of the kept id all
     stay, as nothing tells them apart, and each counts in group_size. Columns of the result's
-    names that were there before are replaced.
+    names that were there before, in whatever case, are replaced.
     """
-    added = ("keep_id", "group_size", "kept", "text_sha256")
-    rows = docs.select(*[c for c in docs.columns if c not in added])
+    return apart(docs, {"doc_id": doc_id, "text": text}, ADDED, _marked)
+
+
+def _marked(rows, doc_id="doc_id", text="text"):
     norm = F.col("__norm")
     keyed = rows.withColumn("__norm", normalised(F.col(text))).withColumns(
         {"__hash": F.unhex(F.md5(norm)), "text_sha256": F.sha2(norm, 256)}
     ).drop("__norm")
-    texts = docs.select(F.col(doc_id).alias("__id"), normalised(F.col(text)).alias("__norm"))
+    texts = rows.select(F.col(doc_id).alias("__id"), normalised(F.col(text)).alias("__norm"))
     groups = (
         texts.groupBy(F.unhex(F.md5(norm)).alias("__hash_of"), "__norm")
         .agg(F.min("__id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
@@ -42,7 +47,7 @@ def mark_copies(docs, doc_id="doc_id", text="text"):
         (F.col("__hash") == F.col("__hash_of")) & (F.col("text_sha256") == F.col("__sha_of")),
     )
     kept = F.col(doc_id).eqNullSafe(F.col("keep_id"))
-    return joined.withColumn("kept", kept).select(*rows.columns, *added)
+    return joined.withColumn("kept", kept).select(*rows.columns, *ADDED)
 
 
 def drop_copies(docs, doc_id="doc_id", text="text"):
@@ -51,8 +56,8 @@ def drop_copies(docs, doc_id="doc_id", text="text"):
 
 
 def _kept(docs, doc_id, text):
-    plain = docs.select(F.col(doc_id).alias("__key"), F.struct(*docs.columns).alias("__row"), text)
-    return mark_copies(plain, "__key", text).where("kept")
+    plain = carried(docs, key=quoted(doc_id), text=quoted(text))
+    return mark_copies(plain, "key", "text").where("kept").withColumnRenamed("row", "__row")
 
 
 def keep_one(docs, doc_id="doc_id", text="text"):

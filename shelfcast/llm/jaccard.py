@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from shelfcast.llm.arrow import batch_of, chunks, texts_of
+from shelfcast.llm.arrow import apart, batch_of, chunks, texts_of
 from shelfcast.llm.components import components
 from shelfcast.llm.words import Words, mixed, powers
 from shelfcast.session import cut_lineage
@@ -332,6 +332,10 @@ def drop_similar(docs, size=5, top=80, bottom=100, doc_id="doc_id", text="text")
     the smallest hash. Of rows that repeat the id and text of the one that stays, the smallest by
     all columns stays (columns must have an order). Rows without words are in no group: all stay.
     """
+    return apart(docs, {"doc_id": doc_id, "text": text}, (), lambda rows: _one_of_each(rows, size, top, bottom))
+
+
+def _one_of_each(docs, size, top, bottom, doc_id="doc_id", text="text"):
     grouped = cut_lineage(_groups(docs, size, top, bottom, doc_id, text).where("part is not null").select("row", "key", "part"))
     pair = F.struct(F.col("row").isNull().alias("none"), "row", "key")
     best = grouped.groupBy(F.col("part").alias("in_part")).agg(F.min(pair).alias("best"))

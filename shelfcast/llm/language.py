@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from shelfcast.llm.arrow import batch_of, chunks, code_points, texts_of
+from shelfcast.llm.arrow import apart, batch_of, chunks, code_points, texts_of
 
 CLASSES, OTHER = 64, 37
 UNKNOWN = "und"
@@ -126,12 +126,16 @@ def identify(docs, profiles, text="text", prefix=""):
     """All columns of `docs` with `lang_pred` and `score`, the cosine clipped to 0..1.
 
     A null text, a text without a letter, and any text under profiles of no language get
-    `und` and score 0. Equal cosines go to the language that sorts first. Columns of these
-    names that were there before are replaced.
+    `und` and score 0. Equal cosines go to the language that sorts first. Repeated rows are
+    judged alike; a very long text is one chunk of its own. Columns of these names that were
+    there before, in whatever case, are replaced.
     """
-    pred, score = prefix + "lang_pred", prefix + "score"
-    kept = [c for c in docs.columns if c not in (pred, score)]
-    keep = docs.select(*kept, F.col(text).alias("__text"))
+    added = prefix + "lang_pred", prefix + "score"
+    return apart(docs, {"text": text}, added, lambda rows: _identified(rows, profiles, *added))
+
+
+def _identified(docs, profiles, pred, score):
+    keep = docs.withColumnRenamed("text", "__text").select(*[c for c in docs.columns if c != "text"], "__text")
     matrix, names, seed = profiles.matrix, list(profiles.languages), profiles.seed
 
     def judge(batches):
@@ -148,11 +152,8 @@ def identify(docs, profiles, text="text", prefix=""):
                 best = cosine.argmax(axis=1)
                 found += [names[j] if n else UNKNOWN for j, n in zip(best, letters)]
                 cosines += np.where(letters > 0, np.clip(cosine.max(axis=1), 0, 1), 0).tolist()
-            rest = batch.drop_columns(["__text"])
-            yield pa.RecordBatch.from_arrays(
-                [*rest.columns, pa.array(found, pa.string()), pa.array(cosines, pa.float64())],
-                names=[*rest.schema.names, pred, score],
-            )
-
-    shape = docs.select(*kept).schema.add(pred, "string").add(score, "double")
-    return keep.mapInArrow(judge, shape)
+            made = [pa.array(found, pa.string()), pa.array(cosines, pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, pred, score])
+
+    shape = keep.select("*").schema.add(pred, "string").add(score, "double")
+    return keep.mapInArrow(judge, shape).withColumnRenamed("__text", "text")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.arrow import batch_of, chunks, code_points, texts_of
+from shelfcast.llm.arrow import apart, batch_of, chunks, code_points, texts_of
 
 STATISTICS = (
     "log_words", "log_chars", "word_length", "lower", "upper", "digits", "blanks", "line_ends",
@@ -108,23 +108,26 @@ def statistics(texts):
 def with_statistics(docs, text="text", out="stats"):
     """All columns of `docs` but the text, with its statistics as an array of doubles.
 
-    A null text counts as empty, whose statistics are zeros.
+    A null text counts as empty, whose statistics are zeros. Repeated rows get the same
+    statistics; a very long text is one chunk of its own. A column of the name `out` that was
+    there before, in whatever case, is replaced.
     """
-    kept = [c for c in docs.columns if c not in (text, out)]
+    return apart(docs, {"text": text}, (out,), lambda rows: _with_statistics(rows, out), without=(text,))
 
+
+def _with_statistics(docs, out):
     def compute(batches):
         for batch in batches:
-            texts = texts_of(batch, "__text")
+            texts = texts_of(batch, "text")
             parts = [statistics(texts[a:b]) for a, b in chunks(texts)]
             rows = np.concatenate(parts) if parts else np.zeros((0, len(STATISTICS)))
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(rows) + 1, dtype=np.int32) * len(STATISTICS)), pa.array(rows.ravel())
             )
-            rest = batch.drop_columns(["__text"])
+            rest = batch.drop_columns(["text"])
             yield pa.RecordBatch.from_arrays([*rest.columns, lists], names=[*rest.schema.names, out])
 
-    plain = docs.select(*kept, F.col(text).alias("__text"))
-    return plain.mapInArrow(compute, docs.select(*kept).schema.add(out, T.ArrayType(T.DoubleType())))
+    return docs.mapInArrow(compute, docs.drop("text").schema.add(out, T.ArrayType(T.DoubleType())))
 
 
 def _matrix(column):
@@ -229,8 +232,11 @@ def fit(rows, calibrate, features=256, width=2.5, penalty=1e-4, seed=7):
 
 def score(rows, model, threshold=0.3):
     """All columns of `rows` but `stats`, with score (0..1) and predicted (score >= threshold)."""
-    kept = [c for c in rows.columns if c not in ("stats", "score", "predicted")]
+    added = ("score", "predicted")
+    return apart(rows, {"stats": "stats"}, added, lambda own: _scored(own, model, threshold), without=("stats",))
+
 
+def _scored(rows, model, threshold):
     def judge(batches):
         for batch in batches:
             scores = model.score(_matrix(batch.column("stats"))) if batch.num_rows else np.zeros(0)
@@ -239,5 +245,5 @@ def score(rows, model, threshold=0.3):
                 [*rest.columns, pa.array(scores, pa.float64())], names=[*rest.schema.names, "score"]
             )
 
-    judged = rows.select(*kept, "stats").mapInArrow(judge, rows.select(*kept).schema.add("score", "double"))
+    judged = rows.mapInArrow(judge, rows.drop("stats").schema.add("score", "double"))
     return judged.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

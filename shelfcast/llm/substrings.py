@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.arrow import batch_of, chunks, texts_of
+from shelfcast.llm.arrow import apart, batch_of, chunks, texts_of
 from shelfcast.llm.words import Words
 
 #: Words of an anchor, and occurrences from which an anchor's windows go one by one.
@@ -319,11 +319,15 @@ def remove_repeats(docs, window=20, doc_id="doc_id", text="text"):
     A null text has no words. A null id counts as smaller than any other. Rows that repeat an
     id and a text get the same result and do not remove each other's words; texts that differ
     under one id are judged alone, with the same rank. Ids must fit a long. Columns of the
-    result's names that were there before are replaced.
+    result's names that were there before, in whatever case, are replaced.
     """
     added = ("n_words", "n_removed", "removed_spans", "kept_text")
-    kept = [c for c in docs.columns if c not in added]
-    rows = docs.select(*kept)
+    own = {"doc_id": doc_id, "text": text}
+    return apart(docs, own, added, lambda rows: _without_repeats(rows, window))
+
+
+def _without_repeats(rows, window, doc_id="doc_id", text="text"):
+    kept = rows.columns
     runs = (
         repeated_windows(rows, window, doc_id, text).groupBy(F.col("doc").alias("__doc"), F.col("text_key").alias("__text"))
         .agg(F.collect_set(F.struct("start", "windows")).alias("__runs"))
@@ -332,7 +336,7 @@ def remove_repeats(docs, window=20, doc_id="doc_id", text="text"):
     joined = rows.join(runs, same, "left").select(*kept, F.col("__runs").alias("__own"))
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     shape = (
-        docs.select(*kept).schema.add("n_words", "long").add("n_removed", "long")
+        rows.select("*").schema.add("n_words", "long").add("n_removed", "long")
         .add("removed_spans", span).add("kept_text", "string")
     )
     out = pa.schema([

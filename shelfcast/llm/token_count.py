@@ -15,7 +15,7 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import functions as F
 
-from shelfcast.llm.arrow import texts_of
+from shelfcast.llm.arrow import apart, texts_of
 
 # Fixed value: the pattern by which byte-level vocabularies of this kind cut a text.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -128,24 +128,24 @@ def count_tokens(docs, vocabulary, limit=512, text="text"):
 
     `vocabulary` is the path of a byte-level vocabulary in JSON form; Spark ships the file to
     the executors. A null or empty text has no bytes and no tokens. Texts are counted whole,
-    whatever their length. Columns of the result's names that were there are replaced.
+    whatever their length, and repeated rows one by one. Columns of the result's names that
+    were there, in whatever case, are replaced.
     """
     added = ("n_bytes", "n_tokens", "over_limit")
-    kept = [c for c in docs.columns if c not in added]
     name = local_name(docs.sparkSession, vocabulary)
+    return apart(docs, {"text": text}, added, lambda rows: _counted(rows, name, limit))
+
+
+def _counted(docs, name, limit):
 
     def count(batches):
         merger = _merger(SparkFiles.get(name))
         for batch in batches:
-            counts = [merger.count(t) for t in texts_of(batch, "__text")]
-            rest = batch.drop_columns(["__text"])
+            counts = [merger.count(t) for t in texts_of(batch)]
             yield pa.RecordBatch.from_arrays(
-                [*rest.columns, pa.array(counts, pa.int64())], names=[*rest.schema.names, "n_tokens"]
+                [*batch.columns, pa.array(counts, pa.int64())], names=[*batch.schema.names, "n_tokens"]
             )
 
-    plain = docs.select(
-        *kept, F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
-        F.col(text).alias("__text"),
-    )
-    counted = plain.mapInArrow(count, plain.drop("__text").schema.add("n_tokens", "long"))
+    plain = docs.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
+    counted = plain.mapInArrow(count, plain.select("*").schema.add("n_tokens", "long"))
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import functions as F
 
+from shelfcast.llm.arrow import apart
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -104,17 +106,19 @@ def judge_urls(pages, rules, patterns=PATTERNS, default="allow", url="url"):
     length: block before allow, then the name that sorts first. `rule` and `pattern` name
     what decided, null if it did not. A null url or one without `://` has an empty host and
     path, which no host rule fits. Equal urls get equal verdicts, so repeated rows are
-    harmless; columns of the result's names that were there before are replaced.
+    harmless; columns of the result's names that were there before, in whatever case, are replaced.
 
     Only tokens of distinct urls are shuffled with their candidates; the rules are a small
     table whose join Spark chooses by size.
     """
-    spark = pages.sparkSession
     added = ("host", "path", "rule", "pattern", "verdict")
-    kept = [c for c in pages.columns if c not in added]
-    host, path = host_and_path(F.col(url))
-    rows = pages.select(*kept, F.coalesce(F.col(url), F.lit("")).alias("__url"),
-                        host.alias("host"), path.alias("path"))
+    return apart(pages, {"url": url}, added, lambda rows: _judged(rows, rules, patterns, default))
+
+
+def _judged(pages, rules, patterns, default):
+    spark, url = pages.sparkSession, F.col("url")
+    host, path = host_and_path(url)
+    rows = pages.select("*", F.coalesce(url, F.lit("")).alias("__url"), host.alias("host"), path.alias("path"))
     given = [_host_rule(*r) for r in rules] + [_glob_rule(*p) for p in patterns]
     none = F.lit(None).cast("string")
     if not given:
@@ -144,4 +148,4 @@ def judge_urls(pages, rules, patterns=PATTERNS, default="allow", url="url"):
         "rule": F.when(F.col("__first") == 2, F.col("__name")),
         "pattern": F.when(F.col("__first") == 1, F.col("__name")),
         "verdict": F.coalesce("__verdict", F.lit(default)),
-    }).select(*kept, *added)
+    })

@@ -83,3 +83,14 @@ def test_entry_works_without_the_subpackage(tmp_path):
     assert done.returncode == 0, done.stderr
     n, pipeline, operators = done.stdout.split()
     assert int(n) > 200 and pipeline == operators == "False"
+
+
+def test_entry_works_without_a_library_of_the_subpackage():
+    code = (
+        "import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; q = e.queries(); "
+        "print(len(q), any(n.startswith('op') for n in q), len(e.oracle_sql()) > 200)"
+    )
+    done = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+    n, operators, oracles = done.stdout.split()
+    assert int(n) > 200 and operators == "False" and oracles == "True"
