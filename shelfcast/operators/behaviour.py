@@ -96,8 +96,24 @@ def similar_skus(labels, descriptions, sku):
     )
 
 
+def _named(clusters, descriptions):
+    """Label and description of every cluster of a frame, instead of its number."""
+    described = clusters.join(descriptions, "cluster", "left")
+    return described.withColumns({
+        "cluster_label": F.concat(F.lit("cluster_"), F.col("cluster").cast("string")),
+        "cluster_description": F.coalesce("cluster_description", F.lit("Unlabeled")),
+    }).drop("cluster")
+
+
+def cluster_members(labels, descriptions):
+    """One row per member, in the order of label and SKU; no cluster gathers in one row or task."""
+    return _named(labels.select("cluster", "sku"), descriptions).select(
+        "cluster_label", "cluster_description", "sku"
+    ).orderBy("cluster_label", "sku")
+
+
 def cluster_summaries(weekly, labels, descriptions):
-    """Members, their number and the mean units over the members' rows, per cluster.
+    """Number of members and the mean units over the members' rows, per cluster.
 
     Rows are summed per SKU before the labels join, so no cluster's rows gather.
     """
@@ -106,12 +122,8 @@ def cluster_summaries(weekly, labels, descriptions):
     )
     grouped = labels.join(per_sku, "sku", "left").groupBy("cluster").agg(
         F.count("sku").alias("sku_count"),
-        F.array_sort(F.collect_list("sku")).alias("members"),
-        F.coalesce(F.try_divide(F.sum("_units"), F.sum("_rows")), F.lit(0.0)).alias(
-            "avg_weekly_demand"),
+        F.coalesce(F.try_divide(F.sum("_units"), F.sum("_rows")), F.lit(0.0)).alias("avg_weekly_demand"),
     )
-    return grouped.join(descriptions, "cluster", "left").select(
-        F.concat(F.lit("cluster_"), F.col("cluster").cast("string")).alias("cluster_label"),
-        F.coalesce("cluster_description", F.lit("Unlabeled")).alias("cluster_description"),
-        "sku_count", "members", "avg_weekly_demand",
+    return _named(grouped, descriptions).select(
+        "cluster_label", "cluster_description", "sku_count", "avg_weekly_demand"
     ).orderBy("cluster_label")

@@ -130,7 +130,7 @@ def score_predictions(log_table, performance_table, products, daily_sales, as_of
         return _dated(metrics.live_metrics(matched), as_of)
     log_table.upsert(matched.select(
         *log_table.keys, "actual_units", F.lit(as_of).cast("timestamp").alias("scored_at")
-    ))
+    ), stable=True)
     scored_today = (
         log_table.read().withColumns(number).filter(F.col("scored_at").cast("date") == today)
         .join(products.select("sku", "category"), "sku")
@@ -198,7 +198,9 @@ def _save(catalog, category, winner, linear, forecasters, features, **card):
     if winner == "ridge":
         model = linear.filter(F.col("category") == category)
         return catalog.save_ridge(model, name, features=features, category=category, **card)
-    return catalog.save_boosted(forecasters[(category,)], name, features=features, category=category, **card)
+    forecaster = forecasters[(category,)]
+    fitted = {**card, "training_rows": forecaster.training_rows}
+    return catalog.save_boosted(forecaster, name, features=features, category=category, **fitted)
 
 
 def _boosted_of(train, categories, features, interval, settings):

@@ -486,16 +486,23 @@ def rule_labels(t):
 
 @query("e39_cluster_summaries", f"""
     SELECT concat('cluster_', cluster) AS cluster_label, 'Unlabeled' AS cluster_description,
-      COUNT(DISTINCT sku) AS sku_count,
-      array_to_string(list_sort(list(DISTINCT sku)), ',') AS members,
-      AVG(units_sold) AS avg_weekly_demand
+      COUNT(DISTINCT sku) AS sku_count, AVG(units_sold) AS avg_weekly_demand
     FROM ({LABEL_SQL}) JOIN weekly USING (sku) GROUP BY cluster
 """, "avg_weekly_demand")
 def e39(t):
     labels = rule_labels(t)
     none = labels.select("cluster", F.lit("x").alias("cluster_description")).filter("cluster < 0")
-    summaries = behaviour.cluster_summaries(t.weekly, labels, none)
-    return summaries.withColumn("members", F.array_join("members", ","))
+    return behaviour.cluster_summaries(t.weekly, labels, none)
+
+
+@query("e39_cluster_members", f"""
+    SELECT concat('cluster_', cluster) AS cluster_label,
+      CASE cluster WHEN 1 THEN 'second' ELSE 'Unlabeled' END AS cluster_description, sku FROM ({LABEL_SQL})
+""")
+def e39_members(t):
+    labels = rule_labels(t)
+    one = labels.filter("cluster = 1").select("cluster", F.lit("second").alias("cluster_description")).distinct()
+    return behaviour.cluster_members(labels, one)
 
 
 @query("k21_cluster_labels", f"""

@@ -477,18 +477,49 @@ def k17(t):
 
 
 # --- jobs -----------------------------------------------------------------
+def _rule_held(winner, gbr_mape, ridge_mape):
+    """Whether boosting won exactly where it is at least 5 % better."""
+    gain = F.when(ridge_mape > 0, (ridge_mape - gbr_mape) / ridge_mape * 100).otherwise(F.lit(0.0))
+    return (winner == "gbr") == (gain >= K.MODEL_CHOICE_TOLERANCE)
+
+
 @query("k18_retraining_job", """
     SELECT category, 'forecaster_' || replace(lower(category), ' ', '_') || '_v1' AS model_version,
-      CAST(COUNT(*) AS INT) AS training_rows, 'no_incumbent' AS promotion_decision, '[]' AS drift_warnings
+      CAST(COUNT(*) AS INT) AS training_rows, COUNT(*) AS fitted_rows, 'no_incumbent' AS promotion_decision,
+      '[]' AS drift_warnings, TRUE AS mape_of_winner
     FROM weekly_cat WHERE target_next_week IS NOT NULL GROUP BY category
 """)
 def k18(t):
+    """The lineage, the rows that the stored model was really fitted on, and its metric against the summary's."""
     root = scratch_path(t.spark, "retrain")
     catalog = ModelCatalog(t.spark, f"{root}/models")
     lineage = loads.open_table(t.spark, root, "model_lineage")
-    jobs.retrain(t.spark, t.weekly_categorised, catalog, lineage, "2001-11-20", expected=EXPECTED)
-    return lineage.read().select("category", "model_version", "training_rows",
-                                 "promotion_decision", "drift_warnings")
+    summary = jobs.retrain(t.spark, t.weekly_categorised, catalog, lineage, "2001-11-20", expected=EXPECTED)
+    cards = catalog.cards().select("category", F.col("training_rows").alias("fitted_rows"),
+                                   F.try_element_at("metrics", F.lit("mape")).alias("stored_mape"), "kind")
+    told = summary.select("category", "winner", F.col("mape").alias("mape"))
+    same = (F.abs(F.col("stored_mape") - F.col("mape")) < 1e-9) & (F.col("kind") == F.col("winner"))
+    return lineage.read().join(cards, "category").join(told, "category").select(
+        "category", "model_version", "training_rows", "fitted_rows", "promotion_decision", "drift_warnings",
+        same.alias("mape_of_winner"),
+    )
+
+
+@query("k18_model_choice_on_folds", f"""
+    WITH {FOLD_SQL}
+    SELECT category, COUNT(DISTINCT fold) AS folds, TRUE AS rule_held FROM test GROUP BY 1
+""")
+def k18_choice(t):
+    """Winners of the retraining's comparison, checked against both kinds' own fold errors; short boosting."""
+    settings = {"rounds": 20}
+    compared = jobs.compare_on_folds(t.weekly_categorised, settings, {})
+    rows = cut_lineage(folds.fold_features(t.weekly_categorised))
+    mean = F.avg("mape")
+    boosted = folds.boosted_fold_metrics(rows, **settings).groupBy("category").agg(mean.alias("gbr"))
+    linear = folds.ridge_fold_metrics(rows).groupBy("category").agg(mean.alias("ridge"), F.count("*").alias("folds"))
+    return compared.join(boosted, "category").join(linear, "category").select(
+        "category", F.col("folds"), _rule_held(F.col("winner"), F.col("gbr"), F.col("ridge")).alias("rule_held"),
+    )
 
 
 @query("k19_train_all_job", """

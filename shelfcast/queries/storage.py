@@ -103,14 +103,14 @@ STORED_DAILY = """CAST(CAST(price_unit AS DECIMAL(10, 4)) AS DOUBLE) AS price_un
 def a7(t):
     """Load, then a batch without the other columns: two copies per key, and new keys."""
     stored = loads.open_table(t.spark, scratch_path(t.spark, "upsert"), "daily_sales")
-    stored.upsert(t.daily_sales)
+    stored.upsert(t.daily_sales, stable=True)
     keys = [*stored.keys]
     units = F.col("units_sold")
     first = t.daily_sales.select(*keys, (units * 2).alias("units_sold"), F.lit(1).alias("copy"))
     later = first.withColumn("sale_date", F.date_add("sale_date", 3653))
     second = t.daily_sales.select(*keys, (units * 3).alias("units_sold"), F.lit(2).alias("copy"))
     batch = first.unionByName(second).unionByName(later)
-    stored.upsert(batch.select(*keys, "units_sold", "copy"), order="copy")
+    stored.upsert(batch.select(*keys, "units_sold", "copy"), order="copy", stable=True)
     return stored.read()
 
 
@@ -174,7 +174,7 @@ def a11(t):
 """, DAILY_DOUBLES)
 def a12(t):
     root = scratch_path(t.spark, "daily")
-    loads.load_daily_sales(t.spark, root, t.daily)
+    loads.load_daily_sales(t.spark, root, t.daily, stable=True)
     return loads.open_table(t.spark, root, "daily_sales").read()
 
 

@@ -111,8 +111,9 @@ def daily_rows(daily):
     return daily.withColumnRenamed("date", "sale_date").select(*DAILY_SALES.names)
 
 
-def load_daily_sales(spark, root, daily, order=None):
-    return open_table(spark, root, "daily_sales").upsert(daily_rows(daily), order)
+def load_daily_sales(spark, root, daily, order=None, stable=False):
+    """`stable`: daily is a plain read of files, see SnapshotTable.upsert."""
+    return open_table(spark, root, "daily_sales").upsert(daily_rows(daily), order, stable)
 
 
 def weekly_rows(weekly):

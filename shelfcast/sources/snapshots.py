@@ -104,8 +104,7 @@ class SnapshotTable:
         return reader.parquet(*paths).select(*schema.names)
 
     def _commit(self, frame, mode, batch_rows):
-        newest = self._log().agg(F.max("version")).first()[0] or 0
-        version = newest + 1
+        version = (self._log().agg(F.max("version")).first()[0] or 0) + 1
         # a name no earlier attempt had, whether it lived to write its log line or not
         folder = f"{self.root}/data/version={version}-{uuid.uuid4().hex}"
         parted = frame.withColumn(PARTITION, self._part()).hint("rebalance", PARTITION)
@@ -127,12 +126,17 @@ class SnapshotTable:
             raise ValueError(f"{missing} rows without a value in {', '.join(self.keys)}")
         return {r["part"]: r["rows"] for r in counts}
 
-    def _staged(self, batch, order):
-        """The batch with the place of its rows, run once and written to the shared folder."""
+    def _staged(self, batch, order, stable=False):
+        """The batch with the place of its rows, run once and written to the shared folder.
+
+        A stable batch gives the same rows whenever it runs and costs little to run again, so it
+        is not written.
+        """
         checked = self._checked(batch, order)
         position = input_order(checked) if order is None else F.col(order)
         kept = [c for c in checked.columns if c in self.schema.names]
-        return cut_lineage(checked.select(*kept, position.alias("_position")))
+        placed = checked.select(*kept, position.alias("_position"))
+        return placed if stable else cut_lineage(placed)
 
     def _checked(self, batch, order):
         for name in [*batch.columns, *self.keys]:
@@ -157,16 +161,18 @@ class SnapshotTable:
             for c in self.schema.names
         ])
 
-    def upsert(self, batch, order=None):
+    def upsert(self, batch, order=None, stable=False):
         """Insert new keys, replace the supplied columns of known ones; returns input rows.
 
         Among copies of a key the last one in input order (see input_order), or by `order`,
-        counts. The batch runs once; a NULL key raises before anything is stored. Columns the batch lacks keep their old values. A batch of keys alone adds
-        the unknown ones. Only partitions the batch touches are read and rewritten.
+        counts. The batch runs once, unless it is `stable` (a plain read of files, say), which saves
+        writing it down first; a NULL key raises before anything is stored. Columns the batch lacks
+        keep their old values. A batch of keys alone adds the unknown ones. Only partitions the
+        batch touches are read and rewritten.
         """
         if set(batch.columns) - {order} <= set(self.keys):
-            return self.insert_new(batch, order)
-        staged = self._staged(batch, order)
+            return self.insert_new(batch, order, stable)
+        staged = self._staged(batch, order, stable)
         rows = self._batch_rows(staged)
         if not rows:
             return 0
@@ -181,12 +187,13 @@ class SnapshotTable:
         self._commit(self._conformed(merged.select(*columns)), "replace", rows)
         return sum(rows.values())
 
-    def insert_new(self, batch, order=None):
+    def insert_new(self, batch, order=None, stable=False):
         """Insert unknown keys only, the first of several copies; returns input rows.
 
-        The new rows are added next to the stored ones, which are not rewritten.
+        The new rows are added next to the stored ones, which are not rewritten. `stable` is as
+        in upsert.
         """
-        staged = self._staged(batch, order)
+        staged = self._staged(batch, order, stable)
         rows = self._batch_rows(staged)
         if not rows:
             return 0
