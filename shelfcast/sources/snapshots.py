@@ -14,6 +14,7 @@ from functools import reduce
 from typing import Any
 
 from pyspark.errors import AnalysisException
+from pyspark.logger import PySparkLogger
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,7 +46,7 @@ def input_order(frame):
     an Arrow step), has the order of its rows.
     """
     place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")]
-    log = logging.getLogger("DataFrameQueryContextLogger")
+    log = PySparkLogger.getLogger("DataFrameQueryContextLogger")
     level = log.level
     try:
         log.setLevel(logging.CRITICAL)  # that a frame has no place is an answer, not an error
