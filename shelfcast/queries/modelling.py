@@ -517,7 +517,8 @@ def k18_choice(t):
     mean = F.avg("mape")
     boosted = folds.boosted_fold_metrics(rows, **settings).groupBy("category").agg(mean.alias("gbr"))
     linear = folds.ridge_fold_metrics(rows).groupBy("category").agg(mean.alias("ridge"), F.count("*").alias("folds"))
-    return compared.join(boosted, "category").join(linear, "category").select(
+    winners = compared.select("category", "winner")
+    return winners.join(boosted, "category").join(linear, "category").select(
         "category", F.col("folds"), _rule_held(F.col("winner"), F.col("gbr"), F.col("ridge")).alias("rule_held"),
     )
 
