@@ -113,17 +113,19 @@ def cluster_members(labels, descriptions):
 
 
 def cluster_summaries(weekly, labels, descriptions):
-    """Number of members and the mean units over the members' rows, per cluster.
+    """Members in order, their number and the mean units over the members' rows, per cluster.
 
-    Rows are summed per SKU before the labels join, so no cluster's rows gather.
+    Rows are summed per SKU before the labels join, so no cluster's rows gather. Its SKUs do, as the
+    result has them in one list: at most the 676,000 codes of two letters and three digits.
     """
     per_sku = weekly.groupBy("sku").agg(
         F.sum("units_sold").alias("_units"), F.count("units_sold").alias("_rows")
     )
     grouped = labels.join(per_sku, "sku", "left").groupBy("cluster").agg(
         F.count("sku").alias("sku_count"),
+        F.array_sort(F.collect_list("sku")).alias("members"),
         F.coalesce(F.try_divide(F.sum("_units"), F.sum("_rows")), F.lit(0.0)).alias("avg_weekly_demand"),
     )
     return _named(grouped, descriptions).select(
-        "cluster_label", "cluster_description", "sku_count", "avg_weekly_demand"
+        "cluster_label", "cluster_description", "sku_count", "members", "avg_weekly_demand"
     ).orderBy("cluster_label")

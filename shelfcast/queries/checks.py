@@ -486,13 +486,16 @@ def rule_labels(t):
 
 @query("e39_cluster_summaries", f"""
     SELECT concat('cluster_', cluster) AS cluster_label, 'Unlabeled' AS cluster_description,
-      COUNT(DISTINCT sku) AS sku_count, AVG(units_sold) AS avg_weekly_demand
+      COUNT(DISTINCT sku) AS sku_count,
+      array_to_string(list_sort(list(DISTINCT sku)), ',') AS members,
+      AVG(units_sold) AS avg_weekly_demand
     FROM ({LABEL_SQL}) JOIN weekly USING (sku) GROUP BY cluster
 """, "avg_weekly_demand")
 def e39(t):
-    labels = rule_labels(t)
+    labels = rule_labels(t).join(t.weekly.select("sku").distinct(), "sku", "left_semi")
     none = labels.select("cluster", F.lit("x").alias("cluster_description")).filter("cluster < 0")
-    return behaviour.cluster_summaries(t.weekly, labels, none)
+    summaries = behaviour.cluster_summaries(t.weekly, labels, none)
+    return summaries.withColumn("members", F.array_join("members", ","))
 
 
 @query("e39_cluster_members", f"""

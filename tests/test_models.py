@@ -281,6 +281,45 @@ def test_clusters_cover_all_skus(spark, small):
         behaviour.similar_skus(labels, labels, "ZZ-999")
 
 
+def test_cluster_summaries_hold_every_member_in_order(spark):
+    """All SKUs of a cluster, however dealt out, also those without rows; the query names those of the panel."""
+    from types import SimpleNamespace
+
+    from shelfcast.queries import checks  # noqa: F401
+    from shelfcast.queries.registry import REGISTERED
+
+    code = F.concat(F.lit("MI-"), F.lpad(F.col("id").cast("string"), 3, "0"))
+    skus = spark.range(1000).repartition(7).select(code.alias("sku"), (F.col("id") % 400 == 3).cast("int").alias("cluster"))
+    sold = skus.filter("sku not in ('MI-003', 'MI-008')").withColumn("units_sold", F.substring("sku", 4, 3).cast("double"))
+    weekly = sold.drop("cluster").unionAll(sold.drop("cluster"))
+    names = spark.createDataFrame([(1, "Few")], "cluster int, cluster_description string")
+    first, second = behaviour.cluster_summaries(weekly, skus, names).collect()
+    assert second["members"] == ["MI-003", "MI-403", "MI-803"] and second["cluster_description"] == "Few"
+    assert first["members"] == [f"MI-{i:03}" for i in range(1000) if i % 400 != 3] and first["sku_count"] == 997
+    rows = REGISTERED["e39_cluster_summaries"].build(SimpleNamespace(products=skus.select("sku"), weekly=weekly)).collect()
+    for i, r in enumerate(rows):
+        own = [n for n in range(i, 1000, 4) if n not in (3, 8)]
+        assert (r["members"], r["sku_count"]) == (",".join(f"MI-{n:03}" for n in own), len(own))
+        assert r["avg_weekly_demand"] == pytest.approx(sum(own) / len(own))
+
+
+def test_cluster_summaries_equal_their_sql(spark):
+    import duckdb
+
+    from shelfcast.queries import checks  # noqa: F401
+    from shelfcast.queries.registry import REGISTERED
+
+    query, folder = REGISTERED["e39_cluster_summaries"], "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for name in ("lineitem", "orders", "part", "customer", "nation"):
+        con.execute(f"CREATE VIEW {name} AS FROM '{folder}/{name}.parquet'")
+    answer = con.execute(query.oracle())
+    names = [c[0] for c in answer.description]
+    assert names == ["cluster_label", "cluster_description", "sku_count", "members", "avg_weekly_demand"]
+    got = query.run(spark, folder)
+    assert got.columns == names and {tuple(r) for r in got.collect()} == set(answer.fetchall())
+
+
 def test_models_moved_together_equal_models_moved_alone(spark):
     """Centres after Lloyd steps equal those of plain loops over one model; empty clusters stay."""
     random = np.random.default_rng(6)
