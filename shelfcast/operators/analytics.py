@@ -388,13 +388,24 @@ def season_means(weekly):
     )
 
 
+def steady_mean(column):
+    """Mean that does not move with the order of rows, also where values are fractions.
+
+    Multiples of 2^-20 add without rounding up to 2^33 (every double beyond is one); what is left of
+    each value is so small that its own rounding does not reach the last digit of the sum.
+    """
+    value, steps, most = F.col(column).cast("double"), F.lit(2.0**20), F.lit(2.0**33)
+    rest = F.when(F.abs(value) < most, value - F.rint(value * steps) / steps).otherwise(0.0)
+    return F.try_divide(F.sum(value - rest) + F.sum(rest), F.count(value))
+
+
 def series_statistics(weekly):
     """Distribution of units and means of the other inputs per series."""
     return weekly.groupBy(*K.SERIES).agg(
-        F.avg("units_sold").alias("mean_us"), F.stddev_samp("units_sold").alias("std_us"),
+        steady_mean("units_sold").alias("mean_us"), F.stddev_samp("units_sold").alias("std_us"),
         F.min("units_sold").alias("min_us"), F.max("units_sold").alias("max_us"),
-        F.avg("price_unit").alias("mean_price"), F.avg("stock_available").alias("mean_stock"),
-        F.avg("delivery_days").alias("mean_dd"), F.max("sku_age").alias("max_sku_age"),
+        steady_mean("price_unit").alias("mean_price"), steady_mean("stock_available").alias("mean_stock"),
+        steady_mean("delivery_days").alias("mean_dd"), F.max("sku_age").alias("max_sku_age"),
         F.max("week").alias("latest_week"),
     )
 

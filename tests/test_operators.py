@@ -229,3 +229,19 @@ def test_correlations_are_pairwise_complete(spark):
     want = frame.toPandas().corr().fillna(0.0)
     for r in analytics.correlations(frame).collect():
         assert abs(r["corr"] - want.loc[r["left"], r["right"]]) < 1e-12
+
+
+def test_series_means_do_not_move_with_the_order_of_rows(spark):
+    """95 days over 32 weeks are 2.96875, a tie at four digits; plain sums fall on either side of it."""
+    days = [7 / 3] * 15 + [10 / 3] * 7 + [11 / 3] * 10
+    means = set()
+    for order in (days, days[::-1], days[1::2] + days[::2]):
+        frame = series(spark, order).coalesce(1).withColumns({
+            "delivery_days": F.col("units_sold"), "price_unit": -F.col("units_sold"),
+            "stock_available": F.when(F.col("units_sold") < 3, F.lit(float("inf"))), "sku_age": F.lit(1),
+        })
+        row = analytics.series_statistics(frame).withColumn("rounded", F.round("mean_dd", 4)).collect()[0]
+        means.add((row["mean_dd"], row["mean_us"], row["mean_price"], row["rounded"], row["mean_stock"]))
+    assert means == {(2.96875, 2.96875, -2.96875, 2.9688, float("inf"))}
+    empty = frame.withColumn("price_unit", F.lit(None).cast("double"))
+    assert analytics.series_statistics(empty).collect()[0]["mean_price"] is None
